@@ -1,0 +1,79 @@
+"""Run registered queries next to their SQL twins: python tests/check_oracles.py [sf_dir] [query ...]"""
+
+from __future__ import annotations
+
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from tiermill.session import local_session  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def sorted_rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+def compare(df, con, sql: str) -> str:
+    """An empty string if the rows are the same, else what differs."""
+    ours = sorted_rows(df.columns, [tuple(r) for r in df.collect()])
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    theirs = sorted_rows(names, cursor.fetchall())
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} / {sorted(names)}"
+    if len(ours) != len(theirs):
+        return f"rows {len(ours)} / {len(theirs)}"
+    for a, b in zip(ours, theirs):
+        if a != b:
+            return f"{a} / {b}"
+    kinds = {d[0]: str(d[1]) for d in con.execute(sql).description}
+    wanted = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    off = [
+        (c, t, kinds[c])
+        for c, t in df.dtypes
+        if t in wanted and wanted[t] not in (kinds[c], kinds[c].replace("STRING", "VARCHAR"))
+    ]
+    return f"types {off}" if off else ""
+
+
+def main() -> int:
+    args = sys.argv[1:]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    spark = local_session("oracles", 8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con, sql, failed = connect(sf_dir), oracle_sql(), 0
+    for name, query in queries().items():
+        if args[1:] and name not in args[1:]:
+            continue
+        started = time.time()
+        try:
+            df = query(spark, sf_dir)
+            found = compare(df, con, sql[name]) if name in sql else f"no SQL, {df.count()} rows"
+        except Exception as error:  # keep going to report every query
+            found = f"{type(error).__name__}: {str(error)[:600]}"
+        failed += bool(found) and not found.startswith("no SQL")
+        print(f"{name:28s} {time.time() - started:6.2f}s {found or 'ok'}", flush=True)
+    spark.stop()
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main())
