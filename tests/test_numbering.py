@@ -1,0 +1,108 @@
+import random
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from tiermill.operators import numbering
+from tiermill.operators.cleaning import keep_newest
+from tiermill.operators.numbering import number_all, number_within
+
+
+def _sample(seed, hot_share=0.5, n=400):
+    """Rows (customer, day, id, value) in which one customer holds ``hot_share`` of all rows."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        customer = 7 if rng.random() < hot_share else rng.choice([None, *range(30)])
+        out.append((customer, rng.randrange(5), i, rng.choice([None, "a", "b", "c"])))
+    rng.shuffle(out)
+    return out
+
+
+SCHEMA = "customer int, day int, id int, value string"
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_number_all_is_dense_and_the_same_for_any_partitioning(spark, partitions):
+    data = _sample(1)
+    df = spark.createDataFrame(data, SCHEMA).repartition(partitions)
+    got = number_all(df, ["day", "customer", "id"], "n")
+    order = sorted(data, key=lambda r: (r[1], r[0] is not None, r[0] or 0, r[2]))
+    assert rows(got, "n", "id") == sorted(((i, r[2]) for i, r in enumerate(order, 1)), key=repr)
+
+
+def test_number_all_of_one_value_is_cut_by_the_tie_breaker(spark):
+    df = spark.range(1000).select(F.lit(1).alias("day"), "id")
+    got = number_all(df, ["day", "id"], "n")
+    assert got.filter("n = id + 1").count() == 1000
+
+
+def test_number_all_of_nothing(spark):
+    assert number_all(spark.range(0), ["id"], "n").count() == 0
+
+
+def test_number_all_meets_in_one_task_above_the_counts_only(spark):
+    text = plan(number_all(spark.range(100), ["id"], "n"))
+    below_single = text[text.index("SinglePartition") :]
+    assert text.count("SinglePartition") == 1
+    assert "HashAggregate" in below_single.splitlines()[1]
+
+
+def _brute_force(data):
+    groups = {}
+    for r in sorted(data, key=lambda r: (r[1], r[2])):
+        groups.setdefault(r[0], []).append(r)
+    out = []
+    for group in groups.values():
+        for i, r in enumerate(group):
+            before = group[i - 1][3] if i else None
+            after = group[i + 1][3] if i + 1 < len(group) else None
+            out.append((r[2], i + 1, before, after))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("hot_group_rows", [10**9, 20, 0])
+@pytest.mark.parametrize("seed, share", [(1, 0.5), (2, 0.0), (3, 1.0), (4, 0.34)])
+def test_number_within_whole_and_sliced_groups(spark, seed, share, hot_group_rows):
+    data = _sample(seed, share)
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    got = number_within(
+        df,
+        ["customer"],
+        ["day", "id"],
+        number="n",
+        previous={"before": "value"},
+        following={"after": "value"},
+        hot_group_rows=hot_group_rows,
+    )
+    assert rows(got, "id", "n", "before", "after") == _brute_force(data)
+
+
+def test_sliced_groups_over_many_slices(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "HOT_GROUP_ROWS", 9)
+    data = _sample(5, 0.7, 300)
+    df = spark.createDataFrame(data, SCHEMA)
+    got = number_within(
+        df,
+        ["customer"],
+        ["day", "id"],
+        number="n",
+        previous={"before": "value"},
+        following={"after": "value"},
+        hot_group_rows=9,
+    )
+    assert rows(got, "id", "n", "before", "after") == _brute_force(data)
+
+
+def test_keep_newest_limits_before_the_shuffle(spark):
+    df = spark.createDataFrame(_sample(1), SCHEMA)
+    got = keep_newest(df, ["customer"], [F.desc("day"), F.desc("id")])
+    text = plan(got)
+    assert text.count("WindowGroupLimit") == 2
+    partial = text.index("Partial")
+    assert text.index("Exchange hashpartitioning") < partial
+    newest = {}
+    for r in sorted(_sample(1), key=lambda r: (r[1], r[2])):
+        newest[r[0]] = r
+    assert rows(got) == sorted(newest.values(), key=repr)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiermill.functions.predicates import instant
 from tiermill.operators.cleaning import keep_newest
-from tiermill.operators.numbering import HOT_GROUP_ROWS, number_within
+from tiermill.operators.numbering import HOT_GROUP_ROWS, group_sizes, number_within
 
 ATTRIBUTES = ["first_name", "last_name", "email", "phone", "address", "city"]
 
@@ -71,12 +71,15 @@ def scd2_from_changes(
     )
     history = existing.unionByName(dated).withColumn("_state", F.struct(*tracked))
     in_time = ["start_date", "_origin", "_old"]
+    # Nothing below adds rows, so the inputs bound the groups of both steps.
+    sizes = group_sizes(current.select(key).unionAll(updates.select(key)), [key])
     compared = number_within(
         history,
         [key],
         in_time,
         previous={"_before": "_state"},
         hot_group_rows=hot_group_rows,
+        sizes=sizes,
     )
     repeated = (F.col("_origin") == 1) & F.col("_before").eqNullSafe(F.col("_state"))
     versions = number_within(
@@ -86,6 +89,7 @@ def scd2_from_changes(
         number="version_id",
         following={"end_date": "start_date"},
         hot_group_rows=hot_group_rows,
+        sizes=sizes,
     )
     return versions.select(
         key,

@@ -13,7 +13,7 @@ from tiermill.session import written
 
 # A dimension is broadcast only if it was measured to be within both bounds.
 BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 # Beyond them, keys with more fact rows than this are spread over several join tasks. The list of
 # such keys is broadcast, so it holds the most frequent ones only; any other key is joined unsalted.
@@ -96,11 +96,11 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join is inner or left")
-    spread = F.xxhash64(*fact.columns) + F.spark_partition_id()
     salts = F.when(any_null(keys), F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    row_salt = F.pmod(F.xxhash64(*fact.columns), salts) + F.spark_partition_id()
     salted_fact = (
         fact.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.pmod(spread, salts).cast("int"))
+        .withColumn("_salt", F.pmod(row_salt, salts).cast("int"))
         .drop("_salts")
     )
     copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - F.lit(1))

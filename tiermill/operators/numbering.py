@@ -48,6 +48,13 @@ def number_all(df: DataFrame, order: list[str], number: str) -> DataFrame:
     )
 
 
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group, and of all groups (runs a job that reads the keys only)."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    largest, total = counts.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, total or 0
+
+
 def number_within(
     df: DataFrame,
     keys: list[str],
@@ -56,18 +63,19 @@ def number_within(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     hot_group_rows: int = HOT_GROUP_ROWS,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Row number, previous and next values within each group, ascending by ``order``.
 
     ``previous`` and ``following`` map new column names to the columns to look up one row back or
-    ahead. The group sizes are counted first (runs a job). If no group has more than
-    ``hot_group_rows`` rows this is an ordinary window; otherwise the groups are cut into slices and
-    the numbers are carried over the cuts. Both give the same rows.
+    ahead. If no group has more than ``hot_group_rows`` rows this is an ordinary window; otherwise the
+    groups are cut into slices and the numbers are carried over the cuts. Both give the same rows.
+    ``sizes`` is an upper bound of ``group_sizes`` if the caller has one; else they are counted here
+    (runs a job).
     """
     previous, following = previous or {}, following or {}
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (largest or 0) <= hot_group_rows:
+    largest, total = sizes or group_sizes(df, keys)
+    if largest <= hot_group_rows:
         return _number_whole_groups(df, keys, order, number, previous, following)
     return _number_sliced_groups(df, keys, order, number, previous, following, total)
 

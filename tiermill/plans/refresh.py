@@ -17,7 +17,6 @@ from tiermill.sources.tables import TableStore
 REPORTED = [
     "bronze_inventory",
     "bronze_instagram",
-    "bronze_ratings",
     "silver_inventory",
     "silver_instagram",
     "silver_ratings",
@@ -40,22 +39,26 @@ def refresh(
     instagram_csv: str,
     dimension_files: dict[str, str],
     as_of: datetime | Column,
+    ratings_stream: DataFrame | None = None,
 ) -> DataFrame:
     """Build all tables from their sources and return the row count of each.
 
-    ``bronze_ratings`` is filled by the stream and only read here. Any failure is raised.
+    Bronze ratings come from the stored batches of the stream, or else from the table
+    ``bronze_ratings``; they are only read here. Any failure is raised.
     """
     load_dimensions(store, dimension_files, as_of)
     store.write(bronze_inventory(store.spark, inventory_csv), "bronze_inventory", "replace")
     store.write(bronze_instagram(store.spark, instagram_csv), "bronze_instagram", "replace")
-    store.create("bronze_ratings")
+    if ratings_stream is None:
+        store.create("bronze_ratings")
+        ratings_stream = store.read("bronze_ratings")
 
     read, write = store.read, store.write
     write(silver_inventory(read("bronze_inventory"), as_of), "silver_inventory", "replace")
     write(
         silver_instagram(read("bronze_instagram"), read("dim_date")), "silver_instagram", "replace"
     )
-    write(silver_ratings(read("bronze_ratings"), as_of), "silver_ratings", "replace")
+    write(silver_ratings(ratings_stream, as_of), "silver_ratings", "replace")
 
     ratings = read("silver_ratings")
     write(scd2_from_events(ratings, as_of), "customer_rating_versions", "replace")
@@ -70,4 +73,5 @@ def refresh(
         "replace",
     )
     write(gold_customer_metrics(ratings), "gold_customer_metrics", "overwrite_partitions")
-    return layer_counts({table: read(table) for table in REPORTED})
+    built = {table: read(table) for table in REPORTED}
+    return layer_counts({"bronze_ratings": ratings_stream, **built})

@@ -67,14 +67,14 @@ def inventory_funnel(bronze: DataFrame) -> DataFrame:
 def with_calendar(posts: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Every post with the id and season of its day, null outside the calendar.
 
-    The calendar has one row per day, so it is broadcast whatever the size of the posts.
+    No hint: a calendar is far below Spark's own broadcast limit, and above it the join is shuffled.
     """
     days = dim_date.select(
         F.col("date_id").cast("int").alias("date_id"),
         F.col("date").cast("date").alias("post_date"),
         "season",
     )
-    return posts.join(F.broadcast(days), "post_date", "left").select(INSTAGRAM_FIELDS)
+    return posts.join(days, "post_date", "left").select(INSTAGRAM_FIELDS)
 
 
 def silver_instagram(bronze: DataFrame, dim_date: DataFrame) -> DataFrame:

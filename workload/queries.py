@@ -421,8 +421,7 @@ def full_refresh(spark, sf_dir):
     store = TableStore(spark, new_path(spark, "store"), database="tiermill_refresh")
     for name in store.tables():
         store.drop(name)
-    bronze = stream.read_batches(spark, f"{_streamed(spark, sf_dir)}/bronze")
-    store.write(bronze, "bronze_ratings", "create")
+    ratings = stream.read_batches(spark, f"{_streamed(spark, sf_dir)}/bronze")
     tables = ["dim_branches", "dim_employees", "dim_colors", "dim_customers", "dim_treatments"]
     files = {name: _dimension_csv(spark, sf_dir, name) for name in [*tables, "dim_date"]}
     return refresh(
@@ -431,6 +430,7 @@ def full_refresh(spark, sf_dir):
         _as_csv(v.instagram(spark, sf_dir), "instagram-csv"),
         files,
         v.as_of().cast("timestamp"),
+        ratings,
     )
 
 
