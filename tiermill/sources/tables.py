@@ -33,7 +33,8 @@ class TableStore:
         provider: str = "parquet",
     ):
         self.spark, self.root, self.database, self.provider = spark, root, database, provider
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        location = f"LOCATION '{root}'" if provider == "parquet" else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {location}")
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"

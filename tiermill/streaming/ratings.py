@@ -71,9 +71,12 @@ def start_bronze(
         if rejected_path is None:
             write_batch(batch.drop("raw"), batch_id, path, ["event_date"])
             return
+        # Two writes: kept, so that the topic is not read and parsed again for the second.
+        batch.persist()
         write_batch(batch.filter(~unreadable()).drop("raw"), batch_id, path, ["event_date"])
         rejected = batch.filter(unreadable()).drop("event_date", *PAYLOAD)
         write_batch(rejected, batch_id, rejected_path, [])
+        batch.unpersist()
 
     writer = (
         parse_ratings(envelopes, keep_raw=True)

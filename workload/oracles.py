@@ -21,8 +21,7 @@ ratings_raw AS (
          'ratings' AS _kafka_topic,
          CAST(event_id % 4 AS INT) AS _kafka_partition,
          event_id * 10 + dup AS _kafka_offset
-  FROM events, (VALUES (0), (1)) AS d(dup)
-  WHERE dup = 0 OR event_id % 9 = 0
+  FROM (SELECT *, unnest(CASE WHEN event_id % 9 = 0 THEN [0, 1] ELSE [0] END) AS dup FROM events)
 )"""
 
 RATINGS_VALID = f"""
@@ -129,7 +128,7 @@ customers AS (
          DATE '1997-01-01' + CAST((version_id - 1) * 365 AS INT) AS start_date,
          CASE WHEN version_id = 1 THEN DATE '1998-01-01' END AS end_date,
          version_id = 2 AS is_current
-  FROM customer, (VALUES (1), (2)) AS t(version_id)
+  FROM (SELECT *, unnest([1, 2]) AS version_id FROM customer)
 )"""
 
 SCD2_EVENTS = f"""
@@ -156,8 +155,8 @@ WITH updates AS (
   SELECT c_custkey AS customer_id,
          CASE WHEN version_id = 1 THEN '1-URGENT' ELSE c_mktsegment END AS city,
          DATE '1997-01-01' + CAST((version_id - 1) * 365 AS INT) AS start_date, version_id
-  FROM customer, (VALUES (1), (2)) AS t(version_id)
-  WHERE version_id = 1 OR c_acctbal > 0
+  FROM (SELECT *, unnest(CASE WHEN c_acctbal > 0 THEN [1, 2] ELSE [1] END) AS version_id
+        FROM customer)
 ), history AS (
   SELECT customer_id, city, start_date, 0 AS origin, version_id AS old FROM existing
   UNION ALL SELECT customer_id, city, start_date, 1, 0 FROM updates
@@ -480,10 +479,10 @@ SELECT * REPLACE (strftime("timestamp", {TIME}) AS "timestamp") FROM inventory""
     **{f"load_{name}": sql for name, sql in DIMENSIONS.items()},
     "json_parse": f"WITH {MESSAGES} SELECT *, {NOW_TEXT} AS processed_timestamp FROM parsed",
     "stream_bronze": f"WITH {MESSAGES} SELECT * FROM parsed",
-    "stream_rejected": """
-SELECT 'no json' AS raw, 'ratings' AS _kafka_topic, CAST(event_id % 4 AS INT) AS _kafka_partition,
-       event_id AS _kafka_offset
-FROM events WHERE event_id % 13 = 0""",
+    "stream_rejected": f"""
+WITH {MESSAGES}
+SELECT 'no json' AS raw, _kafka_topic, _kafka_partition, _kafka_offset
+FROM parsed WHERE customer_id IS NULL""",
     "partition_overwrite": f"""
 WITH {RATINGS_RAW}
 SELECT * REPLACE (

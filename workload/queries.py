@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -379,7 +380,7 @@ def _streamed(spark, sf_dir, rejected=False):
     folder = new_path(spark, "stream")
     v.envelopes(spark, sf_dir).write.parquet(f"{folder}/topic")
     query = stream.start_bronze(
-        read_envelope_files(spark, f"{folder}/topic", files_per_batch=2),
+        read_envelope_files(spark, f"{folder}/topic"),
         f"{folder}/bronze",
         f"{folder}/checkpoint",
         rejected_path=f"{folder}/rejected" if rejected else None,
@@ -401,13 +402,16 @@ def stream_rejected(spark, sf_dir):
     return rows.select("raw", "_kafka_topic", "_kafka_partition", "_kafka_offset")
 
 
+def _new_database(label: str) -> str:
+    return f"tiermill_{label}_{uuid.uuid4().hex}"
+
+
 def partition_overwrite(spark, sf_dir):
     """All days are stored, then the days from the 20th on are stored again with a higher rating."""
     days = F.to_date("timestamp").alias("event_date")
     rows = v.ratings_raw(spark, sf_dir).select("*", days)
     folder = new_path(spark, "store")
-    store = TableStore(spark, folder, database="tiermill_overwrite")
-    store.drop("bronze_ratings")
+    store = TableStore(spark, folder, database=_new_database("overwrite"))
     store.write(rows, "bronze_ratings", "create")
     corrected = rows.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date")).withColumn(
         "rating_value", F.col("rating_value") + 1
@@ -418,9 +422,7 @@ def partition_overwrite(spark, sf_dir):
 
 def full_refresh(spark, sf_dir):
     """All tables from CSV files and a message stream made from the given tables."""
-    store = TableStore(spark, new_path(spark, "store"), database="tiermill_refresh")
-    for name in store.tables():
-        store.drop(name)
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("refresh"))
     ratings = stream.read_batches(spark, f"{_streamed(spark, sf_dir)}/bronze")
     tables = ["dim_branches", "dim_employees", "dim_colors", "dim_customers", "dim_treatments"]
     files = {name: _dimension_csv(spark, sf_dir, name) for name in [*tables, "dim_date"]}
