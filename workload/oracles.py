@@ -264,6 +264,11 @@ messages AS (
   FROM messages
 )"""
 
+IDS_AS_TEXT = (
+    "* REPLACE (CAST(customer_id AS VARCHAR) AS customer_id, CAST(branch_id AS VARCHAR) AS branch_id,"
+    " CAST(employee_id AS VARCHAR) AS employee_id, CAST(treatment_id AS VARCHAR) AS treatment_id)"
+)
+
 DIMENSIONS = {
     "dim_colors": f"""
 SELECT CAST(p_partkey AS INT) AS color_id, p_name AS name, p_brand AS hex_code,
@@ -384,14 +389,15 @@ UNION ALL SELECT 'processed_timestamp', 0, count(*) FROM ratings_raw""",
 WITH {INVENTORY_CLEAN} SELECT min(quantity_used) AS min_quantity_used FROM inventory_clean""",
     "dq_null_rows": f"""
 WITH {RATINGS_RAW}
-SELECT * REPLACE (CAST(rating_value AS DOUBLE) AS rating_value,
+SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id,
+                  CAST(rating_value AS DOUBLE) AS rating_value,
                   strftime("timestamp", {TIME}) AS "timestamp"),
        {NOW_TEXT} AS processed_timestamp
 FROM ratings_raw
 WHERE {NULL_KEY} OR rating_value IS NULL OR comment IS NULL""",
     "dq_check_silver": f"""
 WITH {INSTAGRAM_JOINED}
-SELECT * REPLACE (strftime(post_date, {DAY}) AS post_date,
+SELECT * REPLACE (CAST(date_id AS VARCHAR) AS date_id, strftime(post_date, {DAY}) AS post_date,
                   strftime(ingestion_date, {DAY}) AS ingestion_date)
 FROM instagram_joined
 WHERE post_id IS NULL OR color_id IS NULL OR date_id IS NULL OR likes IS NULL OR comments IS NULL
@@ -477,8 +483,9 @@ WITH {INVENTORY}
 SELECT * REPLACE (strftime("timestamp", {TIME}) AS "timestamp") FROM inventory""",
     "csv_inferred": DIMENSIONS["dim_treatments"],
     **{f"load_{name}": sql for name, sql in DIMENSIONS.items()},
-    "json_parse": f"WITH {MESSAGES} SELECT *, {NOW_TEXT} AS processed_timestamp FROM parsed",
-    "stream_bronze": f"WITH {MESSAGES} SELECT * FROM parsed",
+    "json_parse": f"""
+WITH {MESSAGES} SELECT {IDS_AS_TEXT}, {NOW_TEXT} AS processed_timestamp FROM parsed""",
+    "stream_bronze": f"WITH {MESSAGES} SELECT {IDS_AS_TEXT} FROM parsed",
     "stream_rejected": f"""
 WITH {MESSAGES}
 SELECT 'no json' AS raw, _kafka_topic, _kafka_partition, _kafka_offset
@@ -486,6 +493,7 @@ FROM parsed WHERE customer_id IS NULL""",
     "partition_overwrite": f"""
 WITH {RATINGS_RAW}
 SELECT * REPLACE (
+         CAST(customer_id AS VARCHAR) AS customer_id,
          CAST(CASE WHEN CAST("timestamp" AS DATE) >= DATE '2024-01-20' THEN rating_value + 1
               ELSE rating_value END AS DOUBLE) AS rating_value,
          strftime("timestamp", {TIME}) AS "timestamp"),

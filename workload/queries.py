@@ -24,10 +24,13 @@ from workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RATING_IDS = ("customer_id", "branch_id", "employee_id", "treatment_id")
 
-def presented(df: DataFrame, **rounded: int) -> DataFrame:
-    """Dates and times as ISO text, fractions as doubles (rounded where their sum has no fixed order),
-    so that rows compare equal whichever client fetches them."""
+
+def presented(df: DataFrame, as_text: tuple[str, ...] = (), **rounded: int) -> DataFrame:
+    """Dates and times as ISO text, fractions as doubles (rounded where their sum has no fixed order)
+    and the integer columns that hold nulls as text, so that rows compare equal whichever client
+    fetches them."""
     columns = []
     for field in df.schema.fields:
         column = F.col(field.name)
@@ -37,6 +40,8 @@ def presented(df: DataFrame, **rounded: int) -> DataFrame:
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, (T.FloatType, T.DecimalType)):
             column = column.cast("double")
+        if field.name in as_text:
+            column = column.cast("string")
         if field.name in rounded:
             column = F.round(column, rounded[field.name])
         columns.append(column.alias(field.name))
@@ -222,13 +227,14 @@ def dq_min_quantity(spark, sf_dir):
 
 def dq_null_rows(spark, sf_dir):
     required = [*silver.RATING_FIELDS, "comment"]
-    return presented(null_violations(v.ratings_raw(spark, sf_dir), required))
+    rows = null_violations(v.ratings_raw(spark, sf_dir), required)
+    return presented(rows, as_text=("customer_id",))
 
 
 def dq_check_silver(spark, sf_dir):
     """Posts joined to a calendar that misses some days break the not-null rule there."""
     posts = silver.with_calendar(v.instagram(spark, sf_dir), v.post_calendar(spark))
-    return presented(quality.check_silver("silver_instagram", posts))
+    return presented(quality.check_silver("silver_instagram", posts), as_text=("date_id",))
 
 
 def dq_funnel_ratings(spark, sf_dir):
@@ -373,7 +379,7 @@ def csv_inferred(spark, sf_dir):
 
 def json_parse(spark, sf_dir):
     parsed = stream.parse_ratings(v.envelopes(spark, sf_dir), v.as_of().cast("timestamp"))
-    return presented(parsed)
+    return presented(parsed, as_text=RATING_IDS)
 
 
 def _streamed(spark, sf_dir, rejected=False):
@@ -393,7 +399,7 @@ def _streamed(spark, sf_dir, rejected=False):
 def stream_bronze(spark, sf_dir):
     folder = _streamed(spark, sf_dir)
     rows = stream.read_batches(spark, f"{folder}/bronze")
-    return presented(rows.drop("batch_id", "processed_timestamp"))
+    return presented(rows.drop("batch_id", "processed_timestamp"), as_text=RATING_IDS)
 
 
 def stream_rejected(spark, sf_dir):
@@ -417,7 +423,8 @@ def partition_overwrite(spark, sf_dir):
         "rating_value", F.col("rating_value") + 1
     )
     store.write(corrected, "bronze_ratings", "overwrite_partitions")
-    return presented(store.read("bronze_ratings").drop("processed_timestamp"))
+    stored = store.read("bronze_ratings").drop("processed_timestamp")
+    return presented(stored, as_text=("customer_id",))
 
 
 def full_refresh(spark, sf_dir):
