@@ -1,77 +1,122 @@
-"""The full refresh: every table in the order in which the tables depend on each other."""
+"""The jobs by name, and the full refresh: all of them in the order in which they need each other."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 
 from tiermill.operators.history import scd2_from_events
 from tiermill.operators.quality import layer_counts
+from tiermill.plans import gold, silver
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
-from tiermill.plans.gold import gold_branch_kpis, gold_color_engagement, gold_customer_metrics
-from tiermill.plans.silver import silver_instagram, silver_inventory, silver_ratings
+from tiermill.session import intermediates
 from tiermill.sources.tables import TableStore
+from tiermill.streaming.ratings import read_batches
 
-REPORTED = [
-    "bronze_inventory",
-    "bronze_instagram",
-    "silver_inventory",
-    "silver_instagram",
-    "silver_ratings",
-    "customer_rating_versions",
-    "gold_branch_kpis",
-    "gold_color_engagement",
-    "gold_customer_metrics",
-]
-
-
-def load_dimensions(store: TableStore, files: dict[str, str], as_of: datetime | Column) -> None:
-    """Replace each dimension by its file, so that a rerun does not double its rows."""
-    for table, path in files.items():
+
+@dataclass(frozen=True)
+class Sources:
+    """Where the data comes from. Without ``ratings_path``, the folder of the ratings stream, bronze
+    ratings are those of the table ``bronze_ratings``."""
+
+    inventory_csv: str = ""
+    instagram_csv: str = ""
+    dimension_files: dict[str, str] = field(default_factory=dict)
+    ratings_path: str = ""
+
+
+Job = Callable[[TableStore, Sources, "datetime | Column"], None]
+
+
+def bronze_ratings(store: TableStore, sources: Sources) -> DataFrame:
+    if sources.ratings_path:
+        return read_batches(store.spark, sources.ratings_path)
+    store.create("bronze_ratings")
+    return store.read("bronze_ratings")
+
+
+def _dimensions(store, sources, as_of):
+    # Replaced as a whole, so that a rerun does not double the rows.
+    for table, path in sources.dimension_files.items():
         store.write(load_dimension(store.spark, table, path, as_of), table, "replace")
 
 
-def refresh(
-    store: TableStore,
-    inventory_csv: str,
-    instagram_csv: str,
-    dimension_files: dict[str, str],
-    as_of: datetime | Column,
-    ratings_stream: DataFrame | None = None,
-) -> DataFrame:
-    """Build all tables from their sources and return the row count of each.
-
-    Bronze ratings come from the stored batches of the stream, or else from the table
-    ``bronze_ratings``; they are only read here. Any failure is raised.
-    """
-    load_dimensions(store, dimension_files, as_of)
-    store.write(bronze_inventory(store.spark, inventory_csv), "bronze_inventory", "replace")
-    store.write(bronze_instagram(store.spark, instagram_csv), "bronze_instagram", "replace")
-    if ratings_stream is None:
-        store.create("bronze_ratings")
-        ratings_stream = store.read("bronze_ratings")
-
-    read, write = store.read, store.write
-    write(silver_inventory(read("bronze_inventory"), as_of), "silver_inventory", "replace")
-    write(
-        silver_instagram(read("bronze_instagram"), read("dim_date")), "silver_instagram", "replace"
-    )
-    write(silver_ratings(ratings_stream, as_of), "silver_ratings", "replace")
-
-    ratings = read("silver_ratings")
-    write(scd2_from_events(ratings, as_of), "customer_rating_versions", "replace")
-    write(
-        gold_branch_kpis(ratings, read("dim_employees"), read("dim_branches")),
-        "gold_branch_kpis",
-        "replace",
+def _bronze_inventory(store, sources, as_of):
+    rows = bronze_inventory(store.spark, sources.inventory_csv)
+    store.write(rows, "bronze_inventory", "replace")
+
+
+def _bronze_instagram(store, sources, as_of):
+    rows = bronze_instagram(store.spark, sources.instagram_csv)
+    store.write(rows, "bronze_instagram", "replace")
+
+
+def _silver_inventory(store, sources, as_of):
+    rows = silver.silver_inventory(store.read("bronze_inventory"), as_of)
+    store.write(rows, "silver_inventory", "replace")
+
+
+def _silver_instagram(store, sources, as_of):
+    rows = silver.silver_instagram(store.read("bronze_instagram"), store.read("dim_date"))
+    store.write(rows, "silver_instagram", "replace")
+
+
+def _silver_ratings(store, sources, as_of):
+    rows = silver.silver_ratings(bronze_ratings(store, sources), as_of)
+    store.write(rows, "silver_ratings", "replace")
+
+
+def _customer_rating_versions(store, sources, as_of):
+    rows = scd2_from_events(store.read("silver_ratings"), as_of)
+    store.write(rows, "customer_rating_versions", "overwrite_partitions")
+
+
+def _gold_branch_kpis(store, sources, as_of):
+    rows = gold.gold_branch_kpis(
+        store.read("silver_ratings"), store.read("dim_employees"), store.read("dim_branches")
     )
-    write(
-        gold_color_engagement(read("silver_inventory"), read("silver_instagram")),
-        "gold_color_engagement",
-        "replace",
+    store.write(rows, "gold_branch_kpis", "replace")
+
+
+def _gold_color_engagement(store, sources, as_of):
+    rows = gold.gold_color_engagement(
+        store.read("silver_inventory"), store.read("silver_instagram")
     )
-    write(gold_customer_metrics(ratings), "gold_customer_metrics", "overwrite_partitions")
-    built = {table: read(table) for table in REPORTED}
-    return layer_counts({"bronze_ratings": ratings_stream, **built})
+    store.write(rows, "gold_color_engagement", "replace")
+
+
+def _gold_customer_metrics(store, sources, as_of):
+    rows = gold.gold_customer_metrics(store.read("silver_ratings"))
+    store.write(rows, "gold_customer_metrics", "overwrite_partitions")
+
+
+JOBS: dict[str, Job] = {
+    "dimensions": _dimensions,
+    "bronze_inventory": _bronze_inventory,
+    "bronze_instagram": _bronze_instagram,
+    "silver_inventory": _silver_inventory,
+    "silver_instagram": _silver_instagram,
+    "silver_ratings": _silver_ratings,
+    "customer_rating_versions": _customer_rating_versions,
+    "gold_branch_kpis": _gold_branch_kpis,
+    "gold_color_engagement": _gold_color_engagement,
+    "gold_customer_metrics": _gold_customer_metrics,
+}
+
+
+def run_job(name: str, store: TableStore, sources: Sources, as_of: datetime | Column) -> None:
+    """Run one job; any failure is raised. Intermediates it wrote are deleted once its table is."""
+    with intermediates(store.spark):
+        JOBS[name](store, sources, as_of)
+
+
+def refresh(store: TableStore, sources: Sources, as_of: datetime | Column) -> DataFrame:
+    """Run all jobs and return the row count of each bronze, silver and gold table."""
+    for name in JOBS:
+        run_job(name, store, sources, as_of)
+    built = {name: store.read(name) for name in JOBS if name != "dimensions"}
+    return layer_counts({"bronze_ratings": bronze_ratings(store, sources), **built})

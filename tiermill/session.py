@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_WRITTEN: list[list[str]] = []
 
 
 def local_session(app: str = "tiermill", cores: int | str = "*", **conf) -> SparkSession:
@@ -58,4 +61,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block what ``written`` stored in it. The results built on it have to
+    be saved by then; outside such a block the files stay until the shared folder is cleaned."""
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for stored in _WRITTEN.pop():
+            path = hadoop.Path(stored)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

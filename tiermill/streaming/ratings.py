@@ -94,6 +94,12 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def batch_counts(batches: DataFrame) -> DataFrame:
+    """(batch_id, row_count) of the stored batches. The progress of a query is no substitute: it
+    counts a row once for every time that a batch is read."""
+    return batches.groupBy(BATCH).agg(F.count("*").alias("row_count"))
+
+
 def latest_rows(ratings: DataFrame, rows: int = 5) -> DataFrame:
     """The last rows by time; ties are broken by topic position."""
     return ratings.orderBy(

@@ -486,6 +486,7 @@ SELECT * REPLACE (strftime("timestamp", {TIME}) AS "timestamp") FROM inventory""
     "json_parse": f"""
 WITH {MESSAGES} SELECT {IDS_AS_TEXT}, {NOW_TEXT} AS processed_timestamp FROM parsed""",
     "stream_bronze": f"WITH {MESSAGES} SELECT {IDS_AS_TEXT} FROM parsed",
+    "stream_batch_counts": "SELECT count(*) AS total_rows FROM events",
     "stream_rejected": f"""
 WITH {MESSAGES}
 SELECT 'no json' AS raw, _kafka_topic, _kafka_partition, _kafka_offset

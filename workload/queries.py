@@ -15,7 +15,7 @@ from tiermill.operators.history import scd2_from_changes, scd2_from_events
 from tiermill.plans import gold, silver, stars
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
-from tiermill.plans.refresh import refresh
+from tiermill.plans.refresh import Sources, refresh
 from tiermill.session import new_path
 from tiermill.sources.envelope import read_envelope_files
 from tiermill.sources.tables import TableStore
@@ -402,6 +402,13 @@ def stream_bronze(spark, sf_dir):
     return presented(rows.drop("batch_id", "processed_timestamp"), as_text=RATING_IDS)
 
 
+def stream_batch_counts(spark, sf_dir):
+    folder = _streamed(spark, sf_dir)
+    return stream.batch_counts(stream.read_batches(spark, f"{folder}/bronze")).agg(
+        F.sum("row_count").alias("total_rows")
+    )
+
+
 def stream_rejected(spark, sf_dir):
     folder = _streamed(spark, sf_dir, rejected=True)
     rows = stream.read_batches(spark, f"{folder}/rejected")
@@ -430,17 +437,14 @@ def partition_overwrite(spark, sf_dir):
 def full_refresh(spark, sf_dir):
     """All tables from CSV files and a message stream made from the given tables."""
     store = TableStore(spark, new_path(spark, "store"), database=_new_database("refresh"))
-    ratings = stream.read_batches(spark, f"{_streamed(spark, sf_dir)}/bronze")
     tables = ["dim_branches", "dim_employees", "dim_colors", "dim_customers", "dim_treatments"]
-    files = {name: _dimension_csv(spark, sf_dir, name) for name in [*tables, "dim_date"]}
-    return refresh(
-        store,
-        _as_csv(v.event_inventory(spark, sf_dir), "inventory-csv"),
-        _as_csv(v.instagram(spark, sf_dir), "instagram-csv"),
-        files,
-        v.as_of().cast("timestamp"),
-        ratings,
+    sources = Sources(
+        inventory_csv=_as_csv(v.event_inventory(spark, sf_dir), "inventory-csv"),
+        instagram_csv=_as_csv(v.instagram(spark, sf_dir), "instagram-csv"),
+        dimension_files={t: _dimension_csv(spark, sf_dir, t) for t in [*tables, "dim_date"]},
+        ratings_path=f"{_streamed(spark, sf_dir)}/bronze",
     )
+    return refresh(store, sources, v.as_of().cast("timestamp"))
 
 
 QUERIES: dict[str, Query] = {
@@ -484,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "load_dim_date": _load("dim_date"),
     "json_parse": json_parse,
     "stream_bronze": stream_bronze,
+    "stream_batch_counts": stream_batch_counts,
     "stream_rejected": stream_rejected,
     "partition_overwrite": partition_overwrite,
     "full_refresh": full_refresh,
