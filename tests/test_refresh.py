@@ -101,6 +101,13 @@ def test_jobs_leave_no_intermediates(store, sources):
     assert set(folder.glob("*")) == before
 
 
+def test_silver_jobs_count_during_the_write(store, sources):
+    run_job("bronze_inventory", store, sources, NOW)
+    metrics = run_job("silver_inventory", store, sources, NOW)
+    assert metrics["rows"] == 1 and metrics["nulls_record_id"] == 0
+    assert run_job("dimensions", store, sources, NOW) == {}
+
+
 def test_a_failing_job_raises(store, sources):
     with pytest.raises(Exception, match="bronze_inventory"):
         run_job("silver_inventory", store, sources, NOW)

@@ -56,7 +56,8 @@ def main() -> None:
     if args.job == "refresh":
         refresh(store, sources, as_of).show(truncate=False)
     else:
-        run_job(args.job, store, sources, as_of)
+        for metric, count in run_job(args.job, store, sources, as_of).items():
+            print(f"{metric}: {count}")
 
 
 if __name__ == "__main__":

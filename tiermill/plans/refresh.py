@@ -9,10 +9,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 
 from tiermill.operators.history import scd2_from_events
-from tiermill.operators.quality import layer_counts
+from tiermill.operators.quality import layer_counts, observed
 from tiermill.plans import gold, silver
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
+from tiermill.schemas import SILVER_REQUIRED
 from tiermill.session import intermediates
 from tiermill.sources.tables import TableStore
 from tiermill.streaming.ratings import read_batches
@@ -29,7 +30,8 @@ class Sources:
     ratings_path: str = ""
 
 
-Job = Callable[[TableStore, Sources, "datetime | Column"], None]
+Metrics = dict[str, int]
+Job = Callable[[TableStore, Sources, "datetime | Column"], Metrics | None]
 
 
 def bronze_ratings(store: TableStore, sources: Sources) -> DataFrame:
@@ -39,6 +41,13 @@ def bronze_ratings(store: TableStore, sources: Sources) -> DataFrame:
     return store.read("bronze_ratings")
 
 
+def _write_silver(store: TableStore, rows: DataFrame, table: str) -> Metrics:
+    """Replace a silver table and return its row and null counts, taken during the write."""
+    watched, watch = observed(rows, table, SILVER_REQUIRED[table])
+    store.write(watched, table, "replace")
+    return watch.get
+
+
 def _dimensions(store, sources, as_of):
     # Replaced as a whole, so that a rerun does not double the rows.
     for table, path in sources.dimension_files.items():
@@ -57,17 +66,17 @@ def _bronze_instagram(store, sources, as_of):
 
 def _silver_inventory(store, sources, as_of):
     rows = silver.silver_inventory(store.read("bronze_inventory"), as_of)
-    store.write(rows, "silver_inventory", "replace")
+    return _write_silver(store, rows, "silver_inventory")
 
 
 def _silver_instagram(store, sources, as_of):
     rows = silver.silver_instagram(store.read("bronze_instagram"), store.read("dim_date"))
-    store.write(rows, "silver_instagram", "replace")
+    return _write_silver(store, rows, "silver_instagram")
 
 
 def _silver_ratings(store, sources, as_of):
     rows = silver.silver_ratings(bronze_ratings(store, sources), as_of)
-    store.write(rows, "silver_ratings", "replace")
+    return _write_silver(store, rows, "silver_ratings")
 
 
 def _customer_rating_versions(store, sources, as_of):
@@ -108,10 +117,13 @@ JOBS: dict[str, Job] = {
 }
 
 
-def run_job(name: str, store: TableStore, sources: Sources, as_of: datetime | Column) -> None:
-    """Run one job; any failure is raised. Intermediates it wrote are deleted once its table is."""
+def run_job(name: str, store: TableStore, sources: Sources, as_of: datetime | Column) -> Metrics:
+    """Run one job; any failure is raised. Returns row and null counts for a silver table.
+
+    What the job wrote for its own use is deleted once its table is written.
+    """
     with intermediates(store.spark):
-        JOBS[name](store, sources, as_of)
+        return JOBS[name](store, sources, as_of) or {}
 
 
 def refresh(store: TableStore, sources: Sources, as_of: datetime | Column) -> DataFrame:
