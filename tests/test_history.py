@@ -3,7 +3,6 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from tiermill.operators.history import scd2_from_changes, scd2_from_events
 
@@ -64,7 +63,7 @@ def test_versions_from_changes(spark, hot_group_rows):
         "customer_id",
         ["city", "phone"],
         NOW,
-        newest_first=[F.desc("seq")],
+        newest_by=["seq"],
         hot_group_rows=hot_group_rows,
     )
     columns = "customer_id version_id city phone start_date end_date is_current".split()
@@ -92,7 +91,7 @@ def test_applying_updates_twice_changes_nothing(spark):
 
     def apply(current):
         return scd2_from_changes(
-            current, updates, "customer_id", ["city"], NOW, newest_first=[F.desc("seq")]
+            current, updates, "customer_id", ["city"], NOW, newest_by=["seq"]
         )
 
     once = apply(none)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.functions.predicates import any_null
@@ -21,13 +21,16 @@ def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     return df.fillna(defaults)
 
 
-def keep_newest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
-    """One row per key, the first in ``newest_first``, which should be a total order.
+def keep_newest(df: DataFrame, keys: list[str], newest_by: list[str]) -> DataFrame:
+    """One row per key: the one with the highest ``newest_by``, null being the lowest.
 
-    Spark keeps the top row per key inside every task before the shuffle (WindowGroupLimit), so a
-    key with a third of all rows sends at most one row per task.
+    Rows equal in all of these are told apart by their other columns, so the result never depends on
+    the order of the rows. This is an aggregate rather than a ranking: Spark folds the rows of a key
+    inside every task before the shuffle, so a key with a third of all rows sends one row per task.
     """
-    newest = Window.partitionBy(*keys).orderBy(*newest_first)
-    return (
-        df.withColumn("_nth", F.row_number().over(newest)).filter(F.col("_nth") == 1).drop("_nth")
+    others = [c for c in df.columns if c not in keys]
+    ranked = [*newest_by, *[c for c in others if c not in newest_by]]
+    newest = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_newest"))
+    return newest.select(
+        [F.col(c) if c in keys else F.col("_newest")[c].alias(c) for c in df.columns]
     )

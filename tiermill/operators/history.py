@@ -47,7 +47,7 @@ def scd2_from_changes(
     key: str,
     tracked: list[str],
     as_of: datetime | Column,
-    newest_first: list[Column] | None = None,
+    newest_by: list[str] | None = None,
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Apply attribute updates to a type-2 table and return the whole new table.
@@ -56,13 +56,12 @@ def scd2_from_changes(
     effective_date. An update that repeats the version before it changes nothing. Any other opens a
     version on its date and closes the one before it, also when it is late and falls between two
     existing versions. Each version ends where the next one starts. Of several updates of a key with
-    one date the first in ``newest_first`` counts. Existing versions are never removed.
+    one date the highest by ``newest_by`` counts. Existing versions are never removed.
     """
     existing = current.select(
         key, *tracked, "start_date", F.lit(0).alias("_origin"), F.col("version_id").alias("_old")
     )
-    order = [*(newest_first or []), *[F.col(c).asc_nulls_last() for c in tracked]]
-    dated = keep_newest(updates, [key, "effective_date"], order).select(
+    dated = keep_newest(updates, [key, "effective_date"], newest_by or tracked).select(
         key,
         *tracked,
         F.col("effective_date").alias("start_date"),

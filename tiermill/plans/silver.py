@@ -40,7 +40,7 @@ TOPIC_POSITION = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 
 def clean_inventory(bronze: DataFrame) -> DataFrame:
     valid = require_not_null(bronze, INVENTORY_FIELDS).filter(p.positive("quantity_used"))
-    return keep_newest(valid, INVENTORY_KEY, [F.desc("timestamp"), F.desc("quantity_used")])
+    return keep_newest(valid, INVENTORY_KEY, ["timestamp", "quantity_used"])
 
 
 def silver_inventory(bronze: DataFrame, as_of: datetime | Column) -> DataFrame:
@@ -82,8 +82,7 @@ def silver_instagram(bronze: DataFrame, dim_date: DataFrame) -> DataFrame:
     valid = require_not_null(with_calendar(bronze, dim_date), INSTAGRAM_FIELDS).filter(
         p.non_negative(["likes", "comments"])
     )
-    newest = [F.desc("ingestion_date"), F.desc("likes"), F.desc("comments")]
-    return keep_newest(valid, INSTAGRAM_KEY, newest)
+    return keep_newest(valid, INSTAGRAM_KEY, ["ingestion_date", "likes", "comments"])
 
 
 def instagram_funnel(bronze: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -130,7 +129,7 @@ def clean_ratings(
     cleaned = bronze.withColumn(
         "comment", normalize_comment("comment", strict_blank, unicode_words)
     )
-    return keep_newest(cleaned, RATING_KEY, [F.desc(c) for c in ["timestamp", *position]])
+    return keep_newest(cleaned, RATING_KEY, ["timestamp", *position])
 
 
 def silver_ratings(
@@ -171,5 +170,5 @@ def merge_late_posts(
     colour. Only those days are read and returned, ready to overwrite their partitions."""
     since = F.to_date(p.instant(as_of) - F.lit(timedelta(hours=hours)))
     recent = stored.unionByName(arrived).filter(F.col("post_date") >= since)
-    newest = [F.desc("ingestion_date"), F.desc("likes"), F.desc("comments")]
-    return keep_newest(recent, ["post_id", "color_id", "post_date"], newest)
+    key = ["post_id", "color_id", "post_date"]
+    return keep_newest(recent, key, ["ingestion_date", "likes", "comments"])

@@ -137,7 +137,7 @@ def _changes(spark, sf_dir, **options):
         "customer_id",
         ["city"],
         v.as_of(),
-        newest_first=[F.desc("sequence")],
+        newest_by=["sequence"],
         **options,
     )
     return presented(result)
