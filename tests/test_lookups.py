@@ -2,6 +2,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from tiermill.operators import lookups
 from tiermill.operators.lookups import hot_keys, lookup_all, salted_join
 
 FACTS = [(i, 1 if i % 3 == 0 else (None if i % 11 == 0 else i % 20)) for i in range(300)]
@@ -41,6 +42,15 @@ def test_other_salting_is_refused(spark):
         salted_join(fact, dim, ["key"], hot_keys(fact, ["key"]), "full")
 
 
+def test_wide_dimensions_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 10_000)
+    narrow = spark.range(20).select("id", F.lit("x").alias("s"), F.array(F.lit(1)).alias("a"))
+    wide = spark.range(20).select("id", F.expr("repeat('x', 1000)").alias("s"))
+    nested = spark.range(20).select("id", F.expr("array_repeat(repeat('x', 500), 2)").alias("a"))
+    assert lookups._measured_small([narrow, wide, nested], 100) == [True, False, False]
+    assert lookups._measured_small([narrow], 10) == [False]
+
+
 def test_broadcast_only_when_measured_small(spark):
     fact, dim = _frames(spark)
     small = lookup_all(fact, [(dim, ["key"])])

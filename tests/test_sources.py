@@ -127,6 +127,15 @@ def test_append_and_replace(spark, store):
     assert rows(store.read("plain")) == [(0,)]
 
 
+def test_files_of_replaced_versions_can_be_dropped(spark, store, tmp_path):
+    for n in (3, 2, 4):
+        store.write(spark.range(n), "plain", "replace")
+    assert len(list((tmp_path / "store" / "plain").glob("v-*"))) == 3
+    store.drop_old_files("plain")
+    assert len(list((tmp_path / "store" / "plain").glob("v-*"))) == 1
+    assert store.read("plain").count() == 4
+
+
 def test_rows_are_cast_on_write(spark, store):
     df = spark.createDataFrame(
         [(1, 4.25, 3, 5.0, True)],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +47,22 @@ def lookup_all(
     return fact
 
 
+def _length(field: T.StructField) -> Column:
+    """Bytes of a column beyond its fixed width."""
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.octet_length(field.name)
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(field.name)))
+    return F.lit(0)
+
+
 def _measured_small(dims: list[DataFrame], broadcast_rows: int) -> list[bool]:
     measures = []
     for i, dim in enumerate(dims):
-        text = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
         lengths = reduce(
-            lambda total, c: total + F.coalesce(F.octet_length(c), F.lit(0)), text, F.lit(0)
+            lambda total, length: total + F.coalesce(length, F.lit(0)),
+            map(_length, dim.schema.fields),
+            F.lit(0).cast("bigint"),
         )
         width = 16 * (len(dim.columns) + 1)
         measures.append(

@@ -66,6 +66,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, name: str):
+    """A path and the file system it is on, as Hadoop objects."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Delete at the end of the block what ``written`` stored in it. The results built on it have to
@@ -74,7 +80,6 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark._jvm.org.apache.hadoop.fs
         for stored in _WRITTEN.pop():
-            path = hadoop.Path(stored)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            path, files = hadoop_path(spark, stored)
+            files.delete(path, True)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiermill.schemas import TABLES, conform
+from tiermill.session import hadoop_path
 
 # Partition columns of the tables that have any.
 PARTITIONED_BY = {"bronze_ratings": ["event_date"], "silver_inventory": ["report_date"]}
@@ -60,6 +61,15 @@ class TableStore:
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
+    def drop_old_files(self, table: str) -> None:
+        """Delete the files of replaced versions of a Parquet table. A replacement leaves them for
+        queries that still read them."""
+        current, _ = hadoop_path(self.spark, self._location(table))
+        folder, files = hadoop_path(self.spark, os.path.join(self.root, table))
+        for version in files.listStatus(folder):
+            if version.getPath().getName() != current.getName():
+                files.delete(version.getPath(), True)
+
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         """``create`` (fails if the table exists), ``append``, ``replace`` or
         ``overwrite_partitions`` (the whole table if it has none).
