@@ -1,0 +1,61 @@
+import zlib
+from collections import defaultdict
+
+import pandas as pd
+import pytest
+
+from tiermill.llm.queries import op9_sharding
+from tiermill.llm.sharding import schedule, shard_by_bytes
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def check(docs, found, shards, same_text):
+    texts = [(d["doc_id"], d["text"]) for d in docs]
+    assert sorted((r["doc_id"] or -1, r["size"], r["text_crc32"]) for r in found) == sorted(
+        (i or -1, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in texts
+    )
+    slots, homes = defaultdict(list), defaultdict(set)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+        homes[r[same_text]].add(r["shard"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(h) == 1 for h in homes.values()) and max(slots, default=0) < shards
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    found = op9_sharding(spark, SF_DIR).collect()
+    check(docs, found, 40, "text_crc32")
+    loads = defaultdict(int)
+    for r in found:
+        loads[r["shard"]] += r["size"]
+    largest = defaultdict(int)
+    for d in docs:
+        largest[d["text"]] += len(d["text"].encode()) + 16
+    mean = sum(loads.values()) / 40
+    assert len(loads) == 40
+    assert max(loads.values()) <= max(1.02 * mean, max(largest.values()))
+
+
+def test_edge_rows(spark, edge_docs, no_docs):
+    check(edge_docs.collect(), shard_by_bytes(edge_docs, 3).collect(), 3, "text_md5")
+    assert shard_by_bytes(no_docs, 3).count() == 0
+
+
+@pytest.mark.parametrize("first", [0, 10**6])
+def test_bulk_dealing_equals_the_heap(first):
+    """A class of many equal groups ends as if each had been dealt alone."""
+    sizes = ([(900, 1, first)] if first else []) + [(50, 3, 330), (40, 100_000, 10**6), (3, 7, 21)]
+    plan = schedule(pd.DataFrame(sizes, columns=["class", "groups", "bytes"]), 8)
+    mean = {c: b / g for c, g, b in sizes}
+    loads = [0.0] * 8
+    for c, groups, _ in sizes:
+        for _ in range(groups):
+            loads[loads.index(min(loads))] += mean[c]
+    plan["load"] = (plan.stop - plan.start) * plan["class"].map(mean)
+    ours = plan.groupby("shard").load.sum()
+    assert sorted(ours) == pytest.approx(sorted(loads), rel=1e-6)
+    for c, groups, _ in sizes:
+        spans = plan[plan["class"] == c].sort_values("start")
+        assert list(spans.start) == [0, *spans.stop[:-1]] and spans.stop.max() == groups
