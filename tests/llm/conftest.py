@@ -1,16 +1,9 @@
-import random
-
 import pytest
+from tests_llm_text import prose
 
 CLASHES = "fp component component_id size shard slot place class piece start length ids _file _row u v"
 
 
-def prose(seed: int, words: int) -> str:
-    """Words that hardly repeat from seed to seed."""
-    rng = random.Random(seed)
-    return " ".join(f"w{rng.randrange(10**6)}" for _ in range(words))
-
-
 @pytest.fixture(scope="session")
 def edge_docs(spark):
     """Null ids and texts, empty, blank and long texts, repeated rows, ties and clashing columns."""

@@ -9,15 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
+from tiermill.llm.decontaminate import contaminated
 from tiermill.llm.packing import pack
 from tiermill.llm.sharding import shard_by_bytes
 from tiermill.llm.simhash import simhash_components
+from tiermill.llm.substring import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("text_md5")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_md5")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -50,6 +61,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring": op1_substring,
+    "op2_decontamination": op2_decontamination,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
