@@ -14,6 +14,10 @@ from tiermill.llm.packing import pack
 from tiermill.llm.sharding import shard_by_bytes
 from tiermill.llm.simhash import simhash_components
 from tiermill.llm.substring import repeated_passages
+from tiermill.llm.topk import scaled, top_inner_products
+from tiermill.llm.toxicity import toxicity
+from tiermill.llm.warc import convert_arc, read_warc, with_referred_page, write_arc, write_warc
+from tiermill.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +33,29 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_md5")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd pages go through ARC version 1 and even ones through version 2."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    arc, folder = new_path(spark, "arc"), new_path(spark, "warc")
+    even = F.coalesce(F.col("page_id") % 2 == 0, F.lit(True))
+    write_arc(pages.filter(~even), f"{arc}/v1", version=1)
+    write_arc(pages.filter(even), f"{arc}/v2", version=2)
+    write_warc(convert_arc(spark, arc), folder, least_bytes=0)
+    records = read_warc(spark, folder, payloads=False)
+    return with_referred_page(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = scaled(table(spark, sf_dir, "embeddings"), 256)
+    return top_inner_products(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -63,6 +90,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_decontamination": op2_decontamination,
+    "op4_warc": op4_warc,
+    "op5_topk": op5_topk,
+    "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
