@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
 from tiermill.llm.decontaminate import contaminated
+from tiermill.llm.html_text import visible_text
 from tiermill.llm.packing import pack
 from tiermill.llm.sharding import shard_by_bytes
 from tiermill.llm.simhash import simhash_components
@@ -56,6 +57,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visible_text(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
+    "op7_html": op7_html,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
