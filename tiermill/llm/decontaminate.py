@@ -163,7 +163,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for width in widths or [SHINGLE]:
         items = written(_items(benchmark, width, exact=width < SHINGLE), "items")
-        some = _verified(_windows(keyed, items, width), items, width)
+        # Written, so that the optimizer cannot push conditions on fingerprints into the join of the
+        # exploding stage, which would then hold all positions of a text at once.
+        windows = written(_windows(keyed, items, width), "windows")
+        some = _verified(windows, items, width)
         found = some if found is None else found.union(some)
     best = F.max(F.struct("similarity", -F.col("distance"), -F.col("start"), "words")).alias("best")
     best = found.groupBy("doc_id", "text_md5", "item_id").agg(best)
