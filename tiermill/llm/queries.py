@@ -12,6 +12,7 @@ from tiermill.llm.common import table
 from tiermill.llm.decontaminate import contaminated
 from tiermill.llm.html_text import visible_text
 from tiermill.llm.packing import pack
+from tiermill.llm.quality import quality_scores
 from tiermill.llm.sharding import shard_by_bytes
 from tiermill.llm.simhash import simhash_components
 from tiermill.llm.substring import repeated_passages
@@ -34,6 +35,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_md5")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd pages go through ARC version 1 and even ones through version 2."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -95,6 +100,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
