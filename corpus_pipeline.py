@@ -6,29 +6,55 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermill.llm.common import table
+from tiermill.llm.decontaminate import without_contaminated
 from tiermill.llm.packing import pack
 from tiermill.llm.queries import TOKENIZER
 from tiermill.llm.simhash import keep_one
+from tiermill.llm.substring import cut_repeats
+from tiermill.llm.toxicity import without_toxic
 from tiermill.session import written
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id."""
     return keep_one(docs, shingle=4, distance=4)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that one with a smaller id holds; those of which nothing is left
+    go."""
+    return cut_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their ids and places in sequences of 4096."""
     return pack(docs, public_tokenizers.path(TOKENIZER), length=4096)
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
     ("packing", packing),
 ]
 
+# Trained scores, fingerprints and alignments have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the whole ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

@@ -1,7 +1,7 @@
 import pytest
 from tests_llm_text import prose
 
-CLASHES = "fp component component_id size shard slot place class piece start length ids _file _row u v"
+CLASHES = "fp component component_id size shard slot place class piece start length ids _file _row u v row _id _md5 _cut text_md5 _starts _stops count key"
 
 
 @pytest.fixture(scope="session")

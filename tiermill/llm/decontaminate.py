@@ -184,5 +184,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text contains no benchmark item."""
     found = written(contaminated(docs, benchmark).select("text_md5").distinct(), "contaminated")
-    found = broadcast_if_small(found.withColumnRenamed("text_md5", "_md5"), 64)
-    return docs.join(found, F.expr("md5(coalesce(text, '')) = _md5"), "left_anti")
+    found = broadcast_if_small(found, 64).alias("found")
+    same = F.expr("md5(coalesce(docs.text, '')) = found.text_md5")
+    return docs.alias("docs").join(found, same, "left_anti")

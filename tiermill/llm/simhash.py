@@ -247,10 +247,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     once = ids.filter("count = 1 AND doc_id IS NOT NULL").select("doc_id")
     result = docs.join(once, "doc_id", "left_semi").select(docs.columns)
     # Rows that repeat an id, or have none, are told apart by their fingerprint and columns.
-    unclear = ids.filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id"))
+    unclear = ids.filter("count > 1 OR doc_id IS NULL").select("doc_id")
     if unclear.isEmpty():
         return result
-    rows = docs.join(unclear, F.expr("doc_id <=> _id"), "left_semi").select(
+    same = docs["doc_id"].eqNullSafe(unclear["doc_id"])
+    rows = docs.join(unclear, same, "left_semi").select(
         F.struct(*docs.columns).alias("_row"), _fingerprint_column(shingle)("text").alias("fp")
     )
     same = F.expr("_row.doc_id <=> doc_id")

@@ -17,9 +17,10 @@ from pyspark.sql import types as T
 from tiermill.llm.common import broadcast_if_small, short_batches
 from tiermill.session import written
 
-# Words of a seed, and seeds of which the least is taken: any SEED_WORDS + WINDOW - 1 words that two
-# documents share in a row have a taken seed in common.
-SEED_WORDS = 5
+# Words of a seed, and seeds of which the least is taken: any SEED_WORDS + WINDOW - 1 = 23 words that
+# two documents share in a row have a taken seed in common. Passages of 50 words or more whose five-word
+# shingles are similar by 0.8 share that many.
+SEED_WORDS = 8
 WINDOW = 16
 # Words a passage has at least, and the part of its aligned words that must be equal. The ends of a
 # passage of 50 words may be lost to a change close to them.
@@ -67,7 +68,7 @@ def seeds_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def seeds(docs: DataFrame, min_words: int) -> DataFrame:
     """``seed``, ``doc_id`` and ``pos`` (in words) of all taken seeds of texts that are long enough.
-    ``first_in`` is the ``doc_id`` at the first place in a document, else null."""
+    ``first`` tells the first place of a seed in its document."""
     short_batches(docs.sparkSession)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,20 +78,21 @@ def seeds(docs: DataFrame, min_words: int) -> DataFrame:
                 words = word_hashes(text)
                 if len(words) >= min_words:
                     hashes, places = seeds_of(words)
-                    later = np.ones(len(hashes), bool)
-                    later[np.unique(hashes, return_index=True)[1]] = False
-                    found.append((hashes, np.full(len(hashes), doc_id, np.int64), places, later))
+                    first = np.zeros(len(hashes), bool)
+                    first[np.unique(hashes, return_index=True)[1]] = True
+                    found.append((hashes, np.full(len(hashes), doc_id, np.int64), places, first))
             if not found:
                 continue
-            hashes, ids, places, later = map(np.concatenate, zip(*found))
-            columns = [hashes.view(np.int64), ids, places.astype(np.int32)]
-            arrays = [*map(pa.array, columns), pa.array(ids, mask=later)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["seed", "doc_id", "pos", "first_in"])
+            hashes, ids, places, first = map(np.concatenate, zip(*found))
+            columns = [hashes.view(np.int64), ids, places.astype(np.int32), first]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns)], names=["seed", "doc_id", "pos", "first"]
+            )
 
     rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").selectExpr(
         "cast(doc_id AS bigint) AS doc_id", "text"
     )
-    return rows.mapInArrow(find, "seed long, doc_id long, pos int, first_in long")
+    return rows.mapInArrow(find, "seed long, doc_id long, pos int, first boolean")
 
 
 def _segments(a: np.ndarray, b: np.ndarray, matches: np.ndarray) -> np.ndarray:
@@ -258,16 +260,18 @@ def repeated_passages(
     first = found.groupBy("seed").agg(
         F.min("doc_id").alias("source"),
         F.max("doc_id").alias("last"),
-        F.min_by("pos", "first_in").alias("source_pos"),
+        F.min_by("pos", F.expr("if(first, doc_id, NULL)")).alias("source_pos"),
     )
-    first = first.filter("last > source").drop("last")
+    # Written, so that both sides of the join are plain shuffles, whose hot keys Spark can split.
+    first = written(first.filter("last > source").drop("last"), "seed-sources")
     match = F.expr("shiftleft(cast(pos AS bigint), 32) | source_pos").alias("match")
-    links = found.join(first, "seed").filter("doc_id > source").select("doc_id", "source", match)
+    links = found.drop("first").join(first, "seed").filter("doc_id > source")
+    links = links.select("doc_id", "source", match)
     pairs = links.groupBy("doc_id", "source").agg(F.collect_set("match").alias("matches"))
     pairs = written(pairs, "seed-pairs")
     held = pairs.select("doc_id").union(pairs.select("source")).distinct()
     held = broadcast_if_small(written(held, "seed-docs"), 16)
-    words = written(_words(docs.select("doc_id", "text").join(held, "doc_id")).distinct(), "words")
+    words = written(_words(docs.select("doc_id", "text").join(held, "doc_id")), "words")
     sources = words.select(F.col("doc_id").alias("source"), F.col("words").alias("source_words"))
     short_batches(docs.sparkSession)
 
@@ -311,9 +315,7 @@ def cut_repeats(docs: DataFrame, **options) -> DataFrame:
     ``n_chars`` follows the text. Documents of which nothing but white space is left are dropped."""
     spans = repeated_passages(docs, **options).groupBy("doc_id", "text_md5")
     spans = spans.agg(F.collect_list("start").alias("_starts"), F.collect_list("stop").alias("_stops"))
-    spans = written(spans, "spans").select(
-        F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5"), "_starts", "_stops"
-    )
+    spans = broadcast_if_small(written(spans, "spans"), 200)
 
     @F.pandas_udf(T.StringType())
     def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
@@ -321,13 +323,16 @@ def cut_repeats(docs: DataFrame, **options) -> DataFrame:
         return pd.Series([t if a is None else without_words(t, a, b) for t, a, b in rows], dtype=object)
 
     short_batches(docs.sparkSession)
-    same = F.expr("doc_id = _id AND md5(text) = _md5")
-    joined = docs.join(broadcast_if_small(spans, 200), same, "left")
-    touched = joined.withColumn("_cut", F.expr("_id IS NOT NULL"))
-    rest = touched.filter("NOT _cut").select(docs.columns)
-    fresh = touched.filter("_cut").withColumn("text", cut("text", "_starts", "_stops"))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        fresh = fresh.withColumn("n_chars", F.length("text").cast(kind))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.expr("md5(text)").alias("text_md5"))
+    same = (rows["row"]["doc_id"] == spans["doc_id"]) & (rows["text_md5"] == spans["text_md5"])
+    joined = rows.join(spans, same, "left").select("row", "_starts", "_stops")
+    rest = joined.filter("_starts IS NULL").select("row.*")
+    fresh = joined.filter("_starts IS NOT NULL").withColumn(
+        "text", cut("row.text", "_starts", "_stops")
+    )
     fresh = fresh.filter(F.length(F.trim(F.translate("text", "\t\n\x0b\f\r", "     "))) > 0)
-    return rest.unionByName(fresh.select(docs.columns))
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    fresh = fresh.select([new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    return rest.unionByName(fresh)
