@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -38,11 +39,19 @@ def test_comment_keeps_letters_of_all_scripts_on_request(spark):
 
 @pytest.mark.parametrize(
     "value, kept",
-    [(0.0, False), (0.5, False), (1.0, True), (3.5, True), (5.0, True), (5.5, False), (6.0, False)]
-    + [(10.0, False), (-1.0, False), (999.0, False), (float("nan"), False), (None, False)],
+    [
+        (np.nextafter(np.float32(1), np.float32(0)), False),
+        (np.float32(1), True),
+        (np.float32(5), True),
+        (np.nextafter(np.float32(5), np.float32(6)), False),
+        (float("inf"), False),
+        (float("-inf"), False),
+        (float("nan"), False),
+        (None, False),
+    ],
 )
 def test_rating_range(spark, value, kept):
-    df = spark.createDataFrame([(value,)], "rating_value float")
+    df = spark.createDataFrame([(value if value is None else float(value),)], "rating_value float")
     assert (df.filter(p.rating_in_range()).count() == 1) == kept
 
 

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 
 from tiermill.operators.history import scd2_from_changes, scd2_from_events
+from tiermill.schemas import TABLES, conform
 
 NOW = datetime(2025, 6, 1)
 D = [date(2024, 1, 1) + timedelta(days=i) for i in range(40)]
@@ -69,8 +70,8 @@ def test_versions_from_changes(spark, hot_group_rows):
     columns = "customer_id version_id city phone start_date end_date is_current".split()
     assert rows(got, *columns) == [
         (1, 1, "Bronx", "x", D[0], D[5], False),
-        (1, 2, "Brooklyn", "x", D[5], D[10], False),
-        (1, 3, "Queens", "x", D[10], None, True),
+        (1, 2, "Queens", "x", D[10], None, True),
+        (1, 3, "Brooklyn", "x", D[5], D[10], False),
         (2, 1, "Bronx", "x", D[0], D[7], False),
         (2, 2, "Queens", "x", D[7], D[12], False),
         (2, 3, "Bronx", "x", D[12], None, True),
@@ -81,6 +82,57 @@ def test_versions_from_changes(spark, hot_group_rows):
     ]
 
 
+@pytest.mark.parametrize("hot_group_rows", [10**9, 0])
+def test_stored_ends_stamps_numbers_and_other_columns_are_kept(spark, hot_group_rows):
+    then = datetime(2020, 1, 1)
+    current = spark.createDataFrame(
+        [
+            (1, 7, "Bronx", "a@x", D[0], D[4], False, then),  # closed, with a gap after it
+            (1, 9, "Queens", "b@x", D[10], None, True, then),
+            (2, 3, "Bronx", "c@x", D[0], D[5], False, then),  # closed for good
+            (3, 1, "Bronx", "d@x", D[2], D[2], False, then),  # of no length
+        ],
+        "customer_id int, version_id int, city string, email string, start_date date,"
+        "end_date date, is_current boolean, created_timestamp timestamp",
+    )
+    updates = spark.createDataFrame(
+        [
+            (1, "Harlem", D[2], 1),  # within the closed version: ends where that did
+            (1, "Bronx", D[6], 2),  # in the gap: no version is in force, so it counts
+            (2, "Bronx", D[9], 3),  # opens the closed customer again
+            (3, "Inwood", D[2], 4),
+        ],
+        "customer_id int, city string, effective_date date, seq int",
+    )
+    got = scd2_from_changes(
+        current, updates, "customer_id", ["city"], NOW, ["seq"], hot_group_rows=hot_group_rows
+    )
+    columns = "customer_id version_id city email start_date end_date is_current created_timestamp"
+    assert rows(got, *columns.split()) == [
+        (1, 10, "Harlem", "b@x", D[2], D[4], False, NOW),
+        (1, 11, "Bronx", "b@x", D[6], D[10], False, NOW),
+        (1, 7, "Bronx", "a@x", D[0], D[2], False, then),
+        (1, 9, "Queens", "b@x", D[10], None, True, then),
+        (2, 3, "Bronx", "c@x", D[0], D[5], False, then),
+        (2, 4, "Bronx", "c@x", D[9], None, True, NOW),
+        (3, 1, "Bronx", "d@x", D[2], D[2], False, then),
+        (3, 2, "Inwood", "d@x", D[2], None, True, NOW),
+    ]
+
+
+def test_changes_fit_the_customer_table(spark):
+    schema = TABLES["dim_customers"]
+    current = spark.createDataFrame(
+        [(1, 1, "Nia", "O", "n@o", "5", "2 Elm", "Bronx", D[0], None, True, NOW)], schema
+    )
+    updates = spark.createDataFrame([(1, "Queens", D[3])], "customer_id long, city string, effective_date date")
+    got = conform(scd2_from_changes(current, updates, "customer_id", ["city"], NOW), schema)
+    assert rows(got, "version_id", "first_name", "city", "end_date") == [
+        (1, "Nia", "Bronx", D[3]),
+        (2, "Nia", "Queens", None),
+    ]
+
+
 def test_applying_updates_twice_changes_nothing(spark):
     rng = random.Random(3)
     updates = spark.createDataFrame(

@@ -1,7 +1,10 @@
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from tiermill.functions.comments import DEFAULT_COMMENT, normalize_comment
 from tiermill.operators import quality
 
 NOW = datetime(2025, 6, 1)
@@ -28,7 +31,7 @@ def test_reasons(spark):
             [],
             ["bad_rating"],
             ["bad_rating", "null_key"],
-            ["blank_comment", "future"],
+            ["future"],
             ["old"],
             ["bad_rating", "null_key"],
         ]
@@ -36,12 +39,25 @@ def test_reasons(spark):
     assert dict(rows(quality.reason_counts(df, NOW))) == {
         "bad_rating": 3,
         "null_key": 2,
-        "blank_comment": 1,
+        "blank_comment": 0,
         "future": 1,
         "old": 1,
     }
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_blank_means_what_the_cleaner_replaces(spark, strict):
+    texts = ["", " ", "  ", "    ", "\n", "\t", " \n ", "ok", " ok ", None]
+    data = [(*GOOD[:5], text, GOOD[6]) for text in texts]
+    df = spark.createDataFrame(data, SCHEMA)
+    found = quality.classify_ratings(df, NOW, strict_blank=strict)
+    told = found.select(
+        F.array_contains("reasons", "blank_comment").alias("blank"),
+        (normalize_comment("comment", strict) == DEFAULT_COMMENT).alias("replaced"),
+    ).filter("comment IS NOT NULL")
+    assert told.count() == len(texts) - 1 and told.filter("blank <> replaced").count() == 0
+
+
 def test_layer_counts_and_minimum(spark):
     a, b = spark.range(5), spark.range(0)
     assert rows(quality.layer_counts({"a": a, "b": b})) == [("a", 5), ("b", 0)]

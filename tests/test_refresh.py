@@ -1,5 +1,7 @@
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
+from threading import Event, Thread
 
 import pytest
 from conftest import rows
@@ -16,13 +18,13 @@ from tiermill.streaming.ratings import parse_ratings, write_batch
 NOW = datetime(2025, 6, 1, 12)
 
 FILES = {
-    "dim_branches": "branch_id,name,city,address,active,opening_date\n1,Down,NY,1 Main,True,2020-01-31\n",
+    "dim_branches": "branch_id,name,city,address,active,opening_date\n1,Harbour,Kiel,4 Quay,True,2019-04-01\n",
     "dim_employees": "employee_id,first_name,last_name,role,experience_years,active,hire_date,"
-    "branch_id\n1,Ava,R,Junior,5,True,2020-07-30,1\n2,Mia,S,Senior,5,False,2020-07-30,1\n",
-    "dim_colors": "color_id,name,hex_code,category,active\n1,Red,#ff0000,Red,True\n",
-    "dim_treatments": "treatment_id,name,price,duration_minutes,active\n1,Basic,25.0,30,True\n",
+    "branch_id\n1,Ole,T,Trainee,1,True,2021-02-01,1\n2,Ida,W,Lead,9,False,2018-02-01,1\n",
+    "dim_colors": "color_id,name,hex_code,category,active\n1,Teal,#008080,Blue,True\n",
+    "dim_treatments": "treatment_id,name,price,duration_minutes,active\n1,Short,17.5,20,True\n",
     "dim_customers": "customer_id,version_id,first_name,last_name,email,phone,address,city,start_date,"
-    "end_date,is_current\n1,1,Sam,H,s@e,+1,1 Oak,Bronx,2020-10-14,,True\n",
+    "end_date,is_current\n1,1,Lea,K,l@k,+9,3 Lime,Husum,2021-11-02,,True\n",
     "inventory": "record_id,branch_id,color_id,quantity_used,timestamp\n"
     "1,1,1,5,2025-05-01 10:00:00\n1,1,1,6,2025-05-01 11:00:00\n2,1,1,0,2025-05-02 10:00:00\n",
     "instagram": "post_id,color_id,likes,comments,post_date,ingestion_date\n"
@@ -83,10 +85,10 @@ def test_refresh_twice_gives_the_same_tables(store, sources):
     ]
     for _ in range(2):
         assert rows(refresh(store, sources, NOW)) == wanted
-    assert rows(store.read("gold_branch_kpis")) == [(1, 4.5, 2, "Down", 1)]
+    assert rows(store.read("gold_branch_kpis")) == [(1, 4.5, 2, "Harbour", 1)]
     assert rows(store.read("gold_color_engagement"))[0][:5] == (1, 1, 6, 10, 2)
     assert rows(store.read("gold_customer_metrics")) == [(1, 4.5, 2, 5.0, False)]
-    assert store.read("dim_customers").filter("first_name = 'Sam'").count() == 1
+    assert store.read("dim_customers").filter("first_name = 'Lea'").count() == 1
     assert store.read("dim_date").count() == 2192
     for table in store.tables():
         assert dict(store.read(table).dtypes) == {
@@ -105,6 +107,7 @@ def test_silver_jobs_count_during_the_write(store, sources):
     run_job("bronze_inventory", store, sources, NOW)
     metrics = run_job("silver_inventory", store, sources, NOW)
     assert metrics["rows"] == 1 and metrics["nulls_record_id"] == 0
+    assert metrics["dropped_quantity"] == 1 and metrics["dropped_duplicate"] == 1
     assert run_job("dimensions", store, sources, NOW) == {}
 
 
@@ -114,7 +117,8 @@ def test_a_failing_job_raises(store, sources):
 
 
 def test_ratings_come_from_the_table_without_a_stream(store, sources):
-    run_job("silver_ratings", store, Sources(), NOW)
+    metrics = run_job("silver_ratings", store, Sources(), NOW)
+    assert metrics["dropped_future"] == 0
     assert store.read("silver_ratings").count() == 0
     assert list(JOBS)[0] == "dimensions"
 
@@ -127,3 +131,36 @@ def test_intermediates_are_deleted_after_the_block(spark):
     assert not Path(path.removeprefix("file://")).exists()
     kept = written(spark.range(3).withColumn("x", F.lit(1)), "probe")
     assert kept.count() == 3
+
+
+def test_late_posts_are_merged_kept_or_set_aside(store, sources, tmp_path):
+    head = "post_id,color_id,likes,comments,post_date,ingestion_date\n"
+    (tmp_path / "late.csv").write_text(
+        head + "9,1,5,1,2025-05-31,2025-06-01\n8,1,5,1,2025-04-01,2025-06-01\n"
+    )
+    run_job("bronze_instagram", store, sources, NOW)
+    late = replace(sources, late_instagram_csv=str(tmp_path / "late.csv"))
+    for _ in range(2):
+        assert run_job("late_instagram", store, late, NOW) == {"arrived": 2, "too_late": 1}
+        assert rows(store.read("bronze_instagram"), "post_id") == [(1,), (2,), (9,)]
+    assert rows(store.read("rejected_late_posts"), "post_id") == [(8,)]
+
+
+def test_blocks_in_two_threads_keep_their_own_files(spark):
+    first_is_open, second_is_done, found = Event(), Event(), []
+
+    def outer():
+        with intermediates(spark):
+            df = written(spark.range(5), "outer")
+            first_is_open.set()
+            second_is_done.wait(60)
+            found.append(df.count())
+
+    thread = Thread(target=outer)
+    thread.start()
+    first_is_open.wait(60)
+    with intermediates(spark):
+        assert written(spark.range(3), "inner").count() == 3
+    second_is_done.set()
+    thread.join(60)
+    assert found == [5]

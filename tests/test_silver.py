@@ -161,11 +161,13 @@ def test_late_posts_touch_the_last_two_days_only(spark):
         schemas.INSTAGRAM_CSV,
     )
     late = spark.createDataFrame(
-        [(2, 1, 9, 5, date(2025, 5, 31), DAY), (3, 1, 1, 1, date(2025, 5, 30), DAY)],
+        [(2, 1, 9, 5, date(2025, 5, 31), DAY), (3, 1, 1, 1, date(2025, 5, 30), DAY),
+         (4, 1, 1, 1, date(2025, 5, 29), DAY), (5, 1, 1, 1, None, DAY)],
         schemas.INSTAGRAM_CSV,
     )
-    got = silver.merge_late_posts(stored, late, NOW)
+    got, too_late = silver.merge_late_posts(stored, late, NOW)
     assert rows(got, "post_id", "likes") == [(2, 9), (3, 1)]
+    assert rows(too_late, "post_id") == [(4,), (5,)]
 
 
 def test_ratings_funnel_counts_against_bronze(spark):

@@ -43,12 +43,12 @@ def test_instagram_csv(spark, tmp_path, capsys):
     path = _file(
         tmp_path,
         "post_id,color_id,likes,comments,post_date,ingestion_date\n"
-        "1,37,2387,178,2024-08-23,2025-06-21\n,10,2,5,2025-06-01,2025-06-01\n",
+        "7,3,41,6,2023-02-03,2023-02-05\n,4,2,5,2023-03-01,2023-03-01\n",
     )
     df = bronze_instagram(spark, path)
     assert rows(df) == [
-        (1, 37, 2387, 178, date(2024, 8, 23), date(2025, 6, 21)),
-        (None, 10, 2, 5, date(2025, 6, 1), date(2025, 6, 1)),
+        (7, 3, 41, 6, date(2023, 2, 3), date(2023, 2, 5)),
+        (None, 4, 2, 5, date(2023, 3, 1), date(2023, 3, 1)),
     ]
     preview(df)
     assert "post_id: long" in capsys.readouterr().out
@@ -123,14 +123,53 @@ def test_append_and_replace(spark, store):
     # a table may be replaced by a query that reads it
     store.write(store.read("plain").filter("id > 1"), "plain", "replace")
     assert rows(store.read("plain")) == [(2,)]
-    store.write(spark.range(1), "plain", "overwrite_partitions")
-    assert rows(store.read("plain")) == [(0,)]
+    with pytest.raises(ValueError, match="no partitions"):
+        store.write(spark.range(1), "plain", "overwrite_partitions")
+    assert rows(store.read("plain")) == [(2,)]
+
+
+def test_a_replacement_may_have_other_columns(spark, store):
+    store.write(spark.range(3), "plain", "create")
+    store.write(spark.createDataFrame([("a", 1.5)], "s string, value double"), "plain", "replace")
+    assert store.read("plain").columns == ["s", "value"]
+    assert rows(store.read("plain")) == [("a", 1.5)] and store.tables() == ["plain"]
+
+
+def test_a_replacement_that_was_cut_short_is_completed(spark, store, monkeypatch):
+    day = date(2025, 1, 1)
+    store.write(_used(spark, (1, 1, day)), "silver_inventory", "create")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(store, "_rename", fail)
+    with pytest.raises(RuntimeError):
+        store.write(_used(spark, (2, 2, day)), "silver_inventory", "replace")
+    monkeypatch.undo()
+    assert store.tables() == ["silver_inventory"]
+    assert rows(store.read("silver_inventory"), "record_id") == [(2,)]
+
+
+def test_a_failed_write_keeps_the_old_rows(spark, store):
+    day = date(2025, 1, 1)
+    store.write(_used(spark, (1, 1, day)), "silver_inventory", "create")
+    broken = _used(spark, (2, 2, day)).withColumn("record_id", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        store.write(broken, "silver_inventory", "replace")
+    assert rows(store.read("silver_inventory"), "record_id") == [(1,)]
+
+
+def test_dropped_tables_leave_no_files(spark, store, tmp_path):
+    store.write(spark.range(3), "plain", "create")
+    store.drop("plain")
+    assert not (tmp_path / "store" / "plain").exists()
 
 
 def test_files_of_replaced_versions_can_be_dropped(spark, store, tmp_path):
     for n in (3, 2, 4):
         store.write(spark.range(n), "plain", "replace")
-    assert len(list((tmp_path / "store" / "plain").glob("v-*"))) == 3
+    # the version before stays for its readers
+    assert len(list((tmp_path / "store" / "plain").glob("v-*"))) == 2
     store.drop_old_files("plain")
     assert len(list((tmp_path / "store" / "plain").glob("v-*"))) == 1
     assert store.read("plain").count() == 4

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 import pytest
@@ -21,6 +22,7 @@ def rating(offset, rating_value="4.5", timestamp="2025-05-01T10:00:00.123456", e
     )
 
 
+T_DATE = stream.STORED["event_date"].dataType
 PAYLOAD = ("customer_id", "branch_id", "rating_value", "comment", "timestamp", "_kafka_offset")
 
 
@@ -105,7 +107,51 @@ def test_rejected_messages_are_set_aside(spark, tmp_path):
         spark, tmp_path, [[rating(0), message(1, "no json"), rating(2)]], rejected_path=rejected
     )
     assert rows(stream.read_batches(spark, path), "_kafka_offset") == [(0,), (2,)]
-    assert rows(stream.read_batches(spark, rejected), "raw", "_kafka_offset") == [("no json", 1)]
+    assert rows(stream.read_batches(spark, rejected, stream.REJECTED), "raw", "_kafka_offset") == [("no json", 1)]
+
+
+def test_a_new_checkpoint_adds_to_what_is_stored(spark, tmp_path):
+    topics = [[rating(i) for i in range(5)], [rating(5), rating(6)]]
+    for run, messages in enumerate(topics):
+        topic = str(tmp_path / f"topic{run}")
+        envelopes(spark, messages).coalesce(1).write.parquet(topic)
+        query = stream.start_bronze(
+            read_envelope_files(spark, topic, 1),
+            str(tmp_path / "bronze"),
+            str(tmp_path / f"checkpoint{run}"),
+            until_caught_up=True,
+        )
+        query.awaitTermination()
+    stored = stream.read_batches(spark, str(tmp_path / "bronze"))
+    assert rows(stored, "_kafka_offset") == [(i,) for i in range(7)]
+
+
+def test_a_topic_of_rejected_messages_leaves_an_empty_table(spark, tmp_path):
+    rejected = str(tmp_path / "rejected")
+    path = _run(spark, tmp_path, [[message(0, "no json")]], rejected_path=rejected)
+    assert stream.read_batches(spark, path).count() == 0
+    assert stream.read_batches(spark, path).schema["event_date"].dataType == T_DATE
+    assert stream.read_batches(spark, rejected, stream.REJECTED).count() == 1
+    assert stream.read_batches(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_the_stream_runs_by_the_clock(spark, tmp_path):
+    topic, bronze = str(tmp_path / "topic"), str(tmp_path / "bronze")
+    envelopes(spark, [rating(0)]).coalesce(1).write.parquet(topic)
+    query = stream.start_bronze(
+        read_envelope_files(spark, topic, 1), bronze, str(tmp_path / "checkpoint"), trigger="1 second"
+    )
+    try:
+        for offset in (1, 2):
+            for _ in range(60):
+                if stream.read_batches(spark, bronze).count() >= offset:
+                    break
+                time.sleep(1)
+            envelopes(spark, [rating(offset)]).coalesce(1).write.mode("append").parquet(topic)
+    finally:
+        query.stop()
+    stored = rows(stream.read_batches(spark, bronze), "_kafka_offset")
+    assert stored[:2] == [(0,), (1,)]
 
 
 def test_latest_rows_break_ties_by_position(spark):

@@ -12,6 +12,11 @@ SCORE_WITH_DEFAULT = 0.8
 SCORE_WITH_COMMENT = 1.0
 
 
+def only_blanks(text: Column, strict_blank: bool = False) -> Column:
+    """True for a text of spaces only, or with ``strict_blank`` of any white space; null for null."""
+    return ~text.rlike(r"\S") if strict_blank else F.trim(text) == ""
+
+
 def normalize_comment(comment, strict_blank: bool = False, unicode_words: bool = False) -> Column:
     """Null or blank becomes the default text, anything else loses unusual characters.
 
@@ -23,9 +28,9 @@ def normalize_comment(comment, strict_blank: bool = False, unicode_words: bool =
     pattern = ("(?U)" if unicode_words else "") + STRIPPED_CHARACTERS
     kept = F.trim(F.regexp_replace(text, pattern, ""))
     if strict_blank:
-        blank = text.isNull() | ~text.rlike(r"\S") | ~kept.rlike(r"\S")
+        blank = text.isNull() | only_blanks(kept, strict_blank)
     else:
-        blank = text.isNull() | (F.trim(text) == "")
+        blank = text.isNull() | only_blanks(text)
     return F.when(blank, F.lit(DEFAULT_COMMENT)).otherwise(kept)
 
 

@@ -41,6 +41,9 @@ def scd2_from_events(
     )
 
 
+VERSIONING = ["version_id", "start_date", "end_date", "is_current", "created_timestamp"]
+
+
 def scd2_from_changes(
     current: DataFrame,
     updates: DataFrame,
@@ -52,50 +55,72 @@ def scd2_from_changes(
 ) -> DataFrame:
     """Apply attribute updates to a type-2 table and return the whole new table.
 
-    ``current`` holds key, tracked columns and start_date; ``updates`` holds key, tracked columns and
-    effective_date. An update that repeats the version before it changes nothing. Any other opens a
-    version on its date and closes the one before it, also when it is late and falls between two
-    existing versions. Each version ends where the next one starts. Of several updates of a key with
-    one date the highest by ``newest_by`` counts. Existing versions are never removed.
+    ``current`` holds key, tracked columns, version_id and start_date, and may hold end_date,
+    created_timestamp and any other columns; ``updates`` holds key, tracked columns and effective_date.
+    An update that repeats the version in force on its date changes nothing. Any other opens a version
+    on its date, also when it is late and falls between two existing versions or after one that was
+    closed. A version ends where the next one starts, or before that on a stored end date. Of several
+    updates of a key with one date the highest by ``newest_by`` counts.
+
+    Existing versions keep their number, their stamp and all other columns and are never removed; new
+    ones are numbered after them by date. A column that ``updates`` lacks is taken from the key's
+    newest existing version.
     """
-    existing = current.select(
-        key, *tracked, "start_date", F.lit(0).alias("_origin"), F.col("version_id").alias("_old")
-    )
+    rest = [c for c in current.columns if c not in (key, *tracked, *VERSIONING)]
+    now = instant(as_of)
+    stamp = F.col("created_timestamp") if "created_timestamp" in current.columns else now
+    old = F.col("version_id").cast("bigint").alias("_old")
+    stored = current.select(
+        key, *tracked, *rest, "start_date", F.lit(1).alias("_origin"), old,
+        F.lit(0).alias("_closing"), stamp.alias("_stamp"),
+    )
+    events = stored
+    if "end_date" in current.columns:
+        # A stored end is an event of its own: it ends what is in force, whatever follows. It comes
+        # before what starts on that day, but after a version of no length that it closes itself.
+        nothing = [F.lit(None).cast(current.schema[c].dataType).alias(c) for c in (*tracked, *rest)]
+        short = F.col("end_date") <= F.col("start_date")
+        closings = current.filter("end_date IS NOT NULL").select(
+            key, *nothing, F.greatest("start_date", "end_date").alias("start_date"),
+            F.when(short, 1).otherwise(0).alias("_origin"), old, F.lit(1).alias("_closing"),
+            F.lit(None).cast("timestamp").alias("_stamp"),
+        )
+        events = events.unionByName(closings)
+    given = [c for c in rest if c in updates.columns]
     dated = keep_newest(updates, [key, "effective_date"], newest_by or tracked).select(
-        key,
-        *tracked,
-        F.col("effective_date").alias("start_date"),
-        F.lit(1).alias("_origin"),
-        F.lit(0).cast("bigint").alias("_old"),
-    )
-    history = existing.unionByName(dated).withColumn("_state", F.struct(*tracked))
-    in_time = ["start_date", "_origin", "_old"]
-    # Nothing below adds rows, so the inputs bound the groups of both steps.
-    sizes = group_sizes(current.select(key).unionAll(updates.select(key)), [key])
-    compared = number_within(
-        history,
-        [key],
-        in_time,
-        previous={"_before": "_state"},
-        hot_group_rows=hot_group_rows,
-        sizes=sizes,
-    )
-    repeated = (F.col("_origin") == 1) & F.col("_before").eqNullSafe(F.col("_state"))
-    versions = number_within(
-        compared.filter(~repeated),
-        [key],
-        in_time,
-        number="version_id",
-        following={"end_date": "start_date"},
-        hot_group_rows=hot_group_rows,
-        sizes=sizes,
+        key, *tracked, *given,
+        *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in rest if c not in given],
+        F.col("effective_date").alias("start_date"), F.lit(2).alias("_origin"),
+        F.lit(0).cast("bigint").alias("_old"), F.lit(0).alias("_closing"), now.alias("_stamp"),
+    )
+    state = F.when(F.col("_closing") == 0, F.struct(*tracked))
+    events = events.unionByName(dated).withColumn("_state", state)
+    in_time = ["start_date", "_origin", "_old", "_closing"]
+    # Nothing below adds rows to a group, so the inputs bound the groups of all steps.
+    keys = current.select(key).unionAll(current.select(key)).unionAll(updates.select(key))
+    sizes = group_sizes(keys, [key])
+
+    def within(df, **wanted):
+        return number_within(df, [key], in_time, hot_group_rows=hot_group_rows, sizes=sizes, **wanted)
+
+    compared = within(events, previous={"_before": "_state"})
+    repeated = (F.col("_origin") == 2) & F.col("_before").eqNullSafe(F.col("_state"))
+    ended = within(compared.filter(~repeated), following={"_end": "start_date"})
+    ended = ended.filter("_closing = 0").drop("_before", "_state", "_closing")
+    fresh = number_within(
+        ended.filter("_origin = 2"), [key], ["start_date"], number="_nth",
+        hot_group_rows=hot_group_rows, sizes=sizes,
+    )
+    newest = F.struct("start_date", "version_id")
+    held = current.groupBy(key).agg(
+        F.max("version_id").cast("bigint").alias("_most"),
+        *[F.max_by(F.struct(c), newest).alias(f"_rest_{c}") for c in rest if c not in given],
     )
-    return versions.select(
-        key,
-        "version_id",
-        *tracked,
-        "start_date",
-        "end_date",
-        F.col("end_date").isNull().alias("is_current"),
-        instant(as_of).alias("created_timestamp"),
+    fresh = fresh.join(held, key, "left").withColumns(
+        {c: F.col(f"_rest_{c}")[c] for c in rest if c not in given}
     )
+    number = (F.coalesce("_most", F.lit(0)) + F.col("_nth")).alias("version_id")
+    columns = [*tracked, *rest, "start_date", F.col("_end").alias("end_date")]
+    columns += [F.col("_end").isNull().alias("is_current"), F.col("_stamp").alias("created_timestamp")]
+    kept = ended.filter("_origin = 1").select(key, F.col("_old").alias("version_id"), *columns)
+    return kept.unionByName(fresh.select(key, number, *columns))

@@ -16,9 +16,10 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 # Beyond them, keys with more fact rows than this are spread over several join tasks. The list of
-# such keys is broadcast, so it holds the most frequent ones only; any other key is joined unsalted.
+# such keys is broadcast. It is bounded by arithmetic: a key counts as hot only if it also has more
+# than the total divided by MAX_HOT_KEYS rows, which fewer than MAX_HOT_KEYS keys can have.
 HOT_KEY_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 NULL_SALTS = 1 << 20
 
 Lookup = tuple[DataFrame, list[str]]
@@ -31,7 +32,8 @@ def lookup_all(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Join ``fact`` to each (dimension, key columns) pair.
+    """Join ``fact`` to each (dimension, key columns) pair; the columns of the result are in the order
+    of the joins.
 
     All dimensions are measured in one job. Those within the bounds are broadcast; the others are
     joined by shuffle, with the hot keys of ``fact`` salted. The broadcasts come first, so that inner
@@ -39,9 +41,12 @@ def lookup_all(
     """
     small = _measured_small([dim for dim, _ in lookups], broadcast_rows)
     large = [lookup for lookup, fits in zip(lookups, small) if not fits]
-    hot = [hot_keys(fact, keys, hot_key_rows) for _, keys in large]
     for dim, keys in [lookup for lookup, fits in zip(lookups, small) if fits]:
         fact = fact.join(F.broadcast(dim), keys, how)
+    if large:
+        # Counting the keys and joining both read the fact; written once, it is computed once.
+        fact = written(fact, "fact")
+    hot = [hot_keys(fact, keys, hot_key_rows) for _, keys in large]
     for (dim, keys), frequent in zip(large, hot):
         fact = salted_join(fact, dim, keys, frequent, how)
     return fact
@@ -80,18 +85,15 @@ def _measured_small(dims: list[DataFrame], broadcast_rows: int) -> list[bool]:
 
 
 def hot_keys(fact: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """The most frequent keys with more than ``hot_key_rows`` rows, and into how many parts to split
-    each. Counted once and written (runs a job), as both sides of a join use it."""
-    return written(
-        fact.dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_key_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / max(hot_key_rows, 1)).cast("int").alias("_salts")),
-        "hot-keys",
-    )
+    """All keys with more than ``hot_key_rows`` rows (and more than one in MAX_HOT_KEYS of all rows),
+    and into how many parts to split each. Counted once and written (runs a job), as both sides of a
+    join use it."""
+    counts = fact.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = written(counts.filter(F.col("_n") > hot_key_rows), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    most = max(hot_key_rows, total // MAX_HOT_KEYS)
+    salts = F.ceil(F.col("_n") / max(most, 1)).cast("int").alias("_salts")
+    return written(counts.filter(F.col("_n") > most).select(*keys, salts), "hot-keys")
 
 
 def salted_join(

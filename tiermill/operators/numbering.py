@@ -21,15 +21,24 @@ HOT_GROUP_ROWS = 5_000_000
 _POSITION_BITS = 33
 
 
-def number_all(df: DataFrame, order: list[str], number: str) -> DataFrame:
+def slices(df: DataFrame, rows: int) -> int:
+    """Into how many range slices ``rows`` rows go: at most HOT_GROUP_ROWS or so each."""
+    shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle_tasks, math.ceil(rows / HOT_GROUP_ROWS))
+
+
+def number_all(df: DataFrame, order: list[str], number: str, rows: int | None = None) -> DataFrame:
     """Add 1..n over the whole DataFrame in the order of ``order`` (runs a job to write the slices).
 
-    Rows are range-partitioned and sorted; only one count per slice meets in a single task.
-    ``order`` should be a total order, or tied rows may swap numbers between runs.
+    Rows are range-partitioned and sorted; only one count per slice meets in a single task. The number
+    of slices follows from ``rows``, an upper bound if the caller has one; else the rows are written
+    and counted first. ``order`` should be a total order, or tied rows may swap numbers between runs.
     """
-    placed = written(
-        df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "numbered"
-    )
+    if rows is None:
+        df = written(df, "unnumbered")
+        rows = df.count()
+    sliced = df.repartitionByRange(slices(df, rows), *order).sortWithinPartitions(*order)
+    placed = written(sliced.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     slice_no = F.shiftright("_place", _POSITION_BITS)
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
@@ -90,10 +99,8 @@ def _number_whole_groups(df, keys, order, number, previous, following):
 
 
 def _number_sliced_groups(df, keys, order, number, previous, following, total):
-    shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(shuffle_tasks, math.ceil(total / HOT_GROUP_ROWS))
     sliced = written(
-        df.repartitionByRange(tasks, *keys, *order).withColumn("_slice", F.spark_partition_id()),
+        df.repartitionByRange(slices(df, total), *keys, *order).withColumn("_slice", F.spark_partition_id()),
         "sliced",
     )
     key = F.struct(*keys)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tiermill.functions.comments import only_blanks
 from tiermill.functions.predicates import (
     LOOKBACK,
     MAX_RATING,
@@ -124,12 +125,12 @@ def funnel(
 RATING_KEYS = ["customer_id", "branch_id", "employee_id", "treatment_id", "timestamp"]
 
 
-def rating_faults(as_of: datetime | Column, lookback: timedelta = LOOKBACK) -> dict[str, Column]:
-    """What can be wrong with a raw rating, by name."""
+def rating_faults(
+    as_of: datetime | Column, lookback: timedelta = LOOKBACK, strict_blank: bool = False
+) -> dict[str, Column]:
+    """What can be wrong with a raw rating, by name. Comments are blank by the cleaner's rule."""
     rating = F.col("rating_value")
-    blank = reduce(
-        operator.or_, [F.col("comment") == text for text in ["", "   ", "\n", "\t", "   \n   "]]
-    )
+    blank = F.coalesce(only_blanks(F.col("comment"), strict_blank), F.lit(False))
     return {
         "bad_rating": rating.isNull()
         | F.isnan(rating)
@@ -143,18 +144,24 @@ def rating_faults(as_of: datetime | Column, lookback: timedelta = LOOKBACK) -> d
 
 
 def classify_ratings(
-    ratings: DataFrame, as_of: datetime | Column, lookback: timedelta = LOOKBACK
+    ratings: DataFrame,
+    as_of: datetime | Column,
+    lookback: timedelta = LOOKBACK,
+    strict_blank: bool = False,
 ) -> DataFrame:
     """Add ``reasons``, the names of all faults of a row; an empty array means clean."""
-    faults = rating_faults(as_of, lookback)
+    faults = rating_faults(as_of, lookback, strict_blank)
     named = F.array(*[F.when(fault, F.lit(name)) for name, fault in faults.items()])
     return ratings.withColumn("reasons", F.array_compact(named))
 
 
 def reason_counts(
-    ratings: DataFrame, as_of: datetime | Column, lookback: timedelta = LOOKBACK
+    ratings: DataFrame,
+    as_of: datetime | Column,
+    lookback: timedelta = LOOKBACK,
+    strict_blank: bool = False,
 ) -> DataFrame:
     """(reason, row_count); a row with two faults counts for both."""
-    faults = rating_faults(as_of, lookback)
+    faults = rating_faults(as_of, lookback, strict_blank)
     totals = ratings.agg(*[F.count_if(fault).alias(name) for name, fault in faults.items()])
     return _unpivot(totals, "reason", {name: {"row_count": F.col(name)} for name in faults})

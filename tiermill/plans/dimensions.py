@@ -29,10 +29,11 @@ def load_dimension(
     as_of: datetime | Column,
     infer_schema: bool = False,
 ) -> DataFrame:
-    """A dimension from its CSV file, cast to the table's columns and stamped."""
+    """A dimension from its CSV file, cast to the table's columns and stamped. Cells that do not fit
+    their type are null, also where the types were inferred."""
     rows = read_csv(spark, path, None if infer_schema else DIMENSION_FILES[table])
     return schemas.conform(
-        rows.withColumn("created_timestamp", instant(as_of)), schemas.TABLES[table]
+        rows.withColumn("created_timestamp", instant(as_of)), schemas.TABLES[table], raw=True
     )
 
 

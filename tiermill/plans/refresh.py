@@ -14,18 +14,19 @@ from tiermill.plans import gold, silver
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
 from tiermill.schemas import SILVER_REQUIRED
-from tiermill.session import intermediates
+from tiermill.session import intermediates, written
 from tiermill.sources.tables import TableStore
-from tiermill.streaming.ratings import read_batches
+from tiermill.streaming.ratings import BATCH, RUN, read_batches
 
 
 @dataclass(frozen=True)
 class Sources:
-    """Where the data comes from. Without ``ratings_path``, the folder of the ratings stream, bronze
-    ratings are those of the table ``bronze_ratings``."""
+    """Where the data comes from. ``ratings_path`` is the folder of the ratings stream, whose days are
+    written to the table ``bronze_ratings``; ``late_instagram_csv`` holds posts that arrive late."""
 
     inventory_csv: str = ""
     instagram_csv: str = ""
+    late_instagram_csv: str = ""
     dimension_files: dict[str, str] = field(default_factory=dict)
     ratings_path: str = ""
 
@@ -34,18 +35,17 @@ Metrics = dict[str, int]
 Job = Callable[[TableStore, Sources, "datetime | Column"], Metrics | None]
 
 
-def bronze_ratings(store: TableStore, sources: Sources) -> DataFrame:
-    if sources.ratings_path:
-        return read_batches(store.spark, sources.ratings_path)
+def bronze_ratings(store: TableStore) -> DataFrame:
     store.create("bronze_ratings")
     return store.read("bronze_ratings")
 
 
-def _write_silver(store: TableStore, rows: DataFrame, table: str) -> Metrics:
-    """Replace a silver table and return its row and null counts, taken during the write."""
+def _write_silver(store: TableStore, rows: DataFrame, table: str, dropped: DataFrame) -> Metrics:
+    """Replace a silver table and return its row and null counts, taken during the write, and what
+    each rule of the cleaner dropped."""
     watched, watch = observed(rows, table, SILVER_REQUIRED[table])
     store.write(watched, table, "replace")
-    return watch.get
+    return watch.get | {f"dropped_{r['rule']}": r["dropped"] for r in dropped.collect()}
 
 
 def _dimensions(store, sources, as_of):
@@ -64,24 +64,49 @@ def _bronze_instagram(store, sources, as_of):
     store.write(rows, "bronze_instagram", "replace")
 
 
+def _late_instagram(store, sources, as_of):
+    """Merge late posts into the days they belong to; those too late are kept in a table."""
+    if not sources.late_instagram_csv:
+        return None
+    arrived = bronze_instagram(store.spark, sources.late_instagram_csv)
+    rows, too_late = silver.merge_late_posts(store.read("bronze_instagram"), arrived, as_of)
+    store.write(written(rows, "late-posts"), "bronze_instagram", "overwrite_partitions")
+    store.create("rejected_late_posts")
+    known = store.read("rejected_late_posts")
+    store.write(written(too_late.subtract(known), "too-late"), "rejected_late_posts", "append")
+    return {"arrived": arrived.count(), "too_late": too_late.count()}
+
+
+def _bronze_ratings(store, sources, as_of):
+    """The days that the stream has stored, each written as a whole: run again after more batches, it
+    replaces these days, and gathers the small files of many batches in a few."""
+    store.create("bronze_ratings")
+    if sources.ratings_path:
+        rows = read_batches(store.spark, sources.ratings_path).drop(RUN, BATCH)
+        store.write(rows, "bronze_ratings", "overwrite_partitions")
+
+
 def _silver_inventory(store, sources, as_of):
-    rows = silver.silver_inventory(store.read("bronze_inventory"), as_of)
-    return _write_silver(store, rows, "silver_inventory")
+    bronze = store.read("bronze_inventory")
+    rows = silver.silver_inventory(bronze, as_of)
+    return _write_silver(store, rows, "silver_inventory", silver.inventory_funnel(bronze))
 
 
 def _silver_instagram(store, sources, as_of):
-    rows = silver.silver_instagram(store.read("bronze_instagram"), store.read("dim_date"))
-    return _write_silver(store, rows, "silver_instagram")
+    bronze, days = store.read("bronze_instagram"), store.read("dim_date")
+    rows = silver.silver_instagram(bronze, days)
+    return _write_silver(store, rows, "silver_instagram", silver.instagram_funnel(bronze, days))
 
 
 def _silver_ratings(store, sources, as_of):
-    rows = silver.silver_ratings(bronze_ratings(store, sources), as_of)
-    return _write_silver(store, rows, "silver_ratings")
+    bronze = bronze_ratings(store)
+    rows = silver.silver_ratings(bronze, as_of)
+    return _write_silver(store, rows, "silver_ratings", silver.ratings_funnel(bronze, as_of))
 
 
 def _customer_rating_versions(store, sources, as_of):
     rows = scd2_from_events(store.read("silver_ratings"), as_of)
-    store.write(rows, "customer_rating_versions", "overwrite_partitions")
+    store.write(rows, "customer_rating_versions", "replace")
 
 
 def _gold_branch_kpis(store, sources, as_of):
@@ -100,13 +125,15 @@ def _gold_color_engagement(store, sources, as_of):
 
 def _gold_customer_metrics(store, sources, as_of):
     rows = gold.gold_customer_metrics(store.read("silver_ratings"))
-    store.write(rows, "gold_customer_metrics", "overwrite_partitions")
+    store.write(rows, "gold_customer_metrics", "replace")
 
 
 JOBS: dict[str, Job] = {
     "dimensions": _dimensions,
     "bronze_inventory": _bronze_inventory,
     "bronze_instagram": _bronze_instagram,
+    "late_instagram": _late_instagram,
+    "bronze_ratings": _bronze_ratings,
     "silver_inventory": _silver_inventory,
     "silver_instagram": _silver_instagram,
     "silver_ratings": _silver_ratings,
@@ -118,7 +145,8 @@ JOBS: dict[str, Job] = {
 
 
 def run_job(name: str, store: TableStore, sources: Sources, as_of: datetime | Column) -> Metrics:
-    """Run one job; any failure is raised. Returns row and null counts for a silver table.
+    """Run one job; any failure is raised. Returns row, null and drop counts for a silver table, and
+    how many late posts came, and too late.
 
     What the job wrote for its own use is deleted once its table is written.
     """
@@ -130,5 +158,5 @@ def refresh(store: TableStore, sources: Sources, as_of: datetime | Column) -> Da
     """Run all jobs and return the row count of each bronze, silver and gold table."""
     for name in JOBS:
         run_job(name, store, sources, as_of)
-    built = {name: store.read(name) for name in JOBS if name != "dimensions"}
-    return layer_counts({"bronze_ratings": bronze_ratings(store, sources), **built})
+    built = [name for name in JOBS if name not in ("dimensions", "late_instagram")]
+    return layer_counts({name: store.read(name) for name in built})

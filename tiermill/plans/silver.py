@@ -165,10 +165,16 @@ def ratings_funnel(
 
 def merge_late_posts(
     stored: DataFrame, arrived: DataFrame, as_of: datetime | Column, hours: int = 48
-) -> DataFrame:
-    """Bronze posts of the last ``hours`` with late arrivals merged in, the last ingested per post and
-    colour. Only those days are read and returned, ready to overwrite their partitions."""
+) -> tuple[DataFrame, DataFrame]:
+    """Bronze posts with late arrivals merged in, the last ingested per post and colour, and the
+    arrivals that are more than ``hours`` late.
+
+    Only the days within the window are read and returned, as a whole, to overwrite their partitions:
+    the table has to be partitioned by ``post_date``. Arrivals without a day are too late as well.
+    """
     since = F.to_date(p.instant(as_of) - F.lit(timedelta(hours=hours)))
-    recent = stored.unionByName(arrived).filter(F.col("post_date") >= since)
+    in_time = F.coalesce(F.col("post_date") >= since, F.lit(False))
+    recent = stored.unionByName(arrived).filter(in_time)
     key = ["post_id", "color_id", "post_date"]
-    return keep_newest(recent, key, ["ingestion_date", "likes", "comments"])
+    merged = keep_newest(recent, key, ["ingestion_date", "likes", "comments"])
+    return merged, arrived.filter(~in_time)

@@ -6,7 +6,7 @@ BIGINT, because a 32-bit id runs out long before 100 TB; identifiers of small di
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +71,7 @@ def _dimension(source: T.StructType) -> T.StructType:
 
 TABLES: dict[str, T.StructType] = {
     "bronze_instagram": INSTAGRAM_CSV,
+    "rejected_late_posts": INSTAGRAM_CSV,
     "bronze_inventory": INVENTORY_CSV,
     "bronze_ratings": T.StructType(
         [
@@ -141,9 +142,23 @@ SILVER_REQUIRED: dict[str, list[str]] = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the columns of ``schema`` by name and cast them; a missing column is an error."""
+def conform(df: DataFrame, schema: T.StructType, raw: bool = False) -> DataFrame:
+    """Select the columns of ``schema`` by name and cast them; a missing column is an error. In ``raw``
+    input, text that does not fit its type becomes null; elsewhere it is an error."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    cast = Column.try_cast if raw else Column.cast
+    return df.select([cast(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def unfit_cells(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: how many cells of each column ``conform`` makes null in raw input."""
+    return df.agg(
+        *[
+            F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(
+                f.name
+            )
+            for f in schema.fields
+        ]
+    )

@@ -7,11 +7,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
-_WRITTEN: list[list[str]] = []
+# What the innermost block of ``intermediates`` in this thread or context has stored.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def local_session(app: str = "tiermill", cores: int | str = "*", **conf) -> SparkSession:
@@ -61,8 +63,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    if _WRITTEN:
-        _WRITTEN[-1].append(path)
+    held = _WRITTEN.get()
+    if held is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,11 +78,14 @@ def hadoop_path(spark: SparkSession, name: str):
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Delete at the end of the block what ``written`` stored in it. The results built on it have to
-    be saved by then; outside such a block the files stay until the shared folder is cleaned."""
-    _WRITTEN.append([])
+    be saved by then; outside such a block the files stay until the shared folder is cleaned. Blocks
+    in other threads keep their own lists."""
+    held: list[str] = []
+    token = _WRITTEN.set(held)
     try:
         yield
     finally:
-        for stored in _WRITTEN.pop():
+        _WRITTEN.reset(token)
+        for stored in held:
             path, files = hadoop_path(spark, stored)
             files.delete(path, True)

@@ -2,7 +2,8 @@
 
 The default provider is Parquet in Spark's own catalog. A whole-table replacement is written beside
 the old files before the table is pointed at it, so a failed write leaves the old rows in place and a
-table can be replaced by a query that reads it. With ``provider="iceberg"`` (connector on the
+table can be replaced by a query that reads it. The files of the version before are kept for queries
+that still read them, older ones are deleted. With ``provider="iceberg"`` (connector on the
 classpath) the table format does this by itself.
 """
 
@@ -20,7 +21,14 @@ from tiermill.schemas import TABLES, conform
 from tiermill.session import hadoop_path
 
 # Partition columns of the tables that have any.
-PARTITIONED_BY = {"bronze_ratings": ["event_date"], "silver_inventory": ["report_date"]}
+PARTITIONED_BY = {
+    "bronze_ratings": ["event_date"],
+    "bronze_instagram": ["post_date"],
+    "silver_inventory": ["report_date"],
+}
+# A table that is registered beside the one it will replace.
+NEXT = "__next"
+MODES = ("create", "append", "replace", "overwrite_partitions")
 
 
 class TableStore:
@@ -41,13 +49,23 @@ class TableStore:
         return f"{self.database}.{table}"
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table))
+        """True if the table is there; a replacement that was cut short is completed first."""
+        found = self.spark.catalog.tableExists(self.name(table))
+        if not found and self.spark.catalog.tableExists(self.name(table + NEXT)):
+            self._rename(table + NEXT, table)
+            return True
+        return found
+
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(new)}")
 
     def tables(self) -> list[str]:
         listed = self.spark.sql(f"SHOW TABLES IN {self.database}")
-        return sorted(row["tableName"] for row in listed.collect() if not row["isTemporary"])
+        names = {row["tableName"] for row in listed.collect() if not row["isTemporary"]}
+        return sorted({name.removesuffix(NEXT) for name in names})
 
     def read(self, table: str) -> DataFrame:
+        self.exists(table)
         return self.spark.table(self.name(table))
 
     def count(self, table: str) -> DataFrame:
@@ -59,20 +77,25 @@ class TableStore:
             self._create(self.spark.createDataFrame([], schema or TABLES[table]), table)
 
     def drop(self, table: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-
-    def drop_old_files(self, table: str) -> None:
-        """Delete the files of replaced versions of a Parquet table. A replacement leaves them for
-        queries that still read them."""
+        """Drop the table with all its files."""
+        for name in (table, table + NEXT):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+        if self.provider == "parquet":
+            folder, files = hadoop_path(self.spark, os.path.join(self.root, table))
+            files.delete(folder, True)
+
+    def drop_old_files(self, table: str, keep: int = 0) -> None:
+        """Delete the files of replaced versions of a Parquet table, but for the ``keep`` newest."""
         current, _ = hadoop_path(self.spark, self._location(table))
         folder, files = hadoop_path(self.spark, os.path.join(self.root, table))
-        for version in files.listStatus(folder):
-            if version.getPath().getName() != current.getName():
-                files.delete(version.getPath(), True)
+        old = [v for v in files.listStatus(folder) if v.getPath().getName() != current.getName()]
+        old.sort(key=lambda version: version.getModificationTime(), reverse=True)
+        for version in old[keep:]:
+            files.delete(version.getPath(), True)
 
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         """``create`` (fails if the table exists), ``append``, ``replace`` or
-        ``overwrite_partitions`` (the whole table if it has none).
+        ``overwrite_partitions`` (an error for a table without partitions).
 
         Columns are matched by name and cast to the declared types first. Rows for a partitioned
         table are gathered by partition, so that each gets few files and a large one several tasks.
@@ -82,15 +105,17 @@ class TableStore:
         partitions = self._partitions(table)
         if partitions:
             df = df.hint("rebalance", *partitions)
-        if mode not in ("create", "append", "replace", "overwrite_partitions"):
+        if mode not in MODES:
             raise ValueError(f"unknown write mode {mode}")
+        if mode == "overwrite_partitions" and not partitions:
+            raise ValueError(f"{table} has no partitions; use replace to write all of it")
         if mode == "create" and self.exists(table):
             raise AnalysisException(f"table {self.name(table)} already exists")
         if not self.exists(table):
             self._create(df, table)
         elif mode == "append":
             self._append(df, table)
-        elif mode == "replace" or not partitions:
+        elif mode == "replace":
             self._replace(df, table)
         else:
             self._overwrite_partitions(df, table)
@@ -126,27 +151,38 @@ class TableStore:
             return
         partitions, location = self._partitions(table), self._new_location(table)
         df.write.partitionBy(*partitions).parquet(location)
-        if not partitions:
+        stored = [(f.name, f.dataType) for f in self.read(table).schema.fields]
+        if not partitions and stored == [(f.name, f.dataType) for f in df.schema.fields]:
             self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{location}'")
-            self.spark.catalog.refreshTable(self.name(table))
-            return
-        # Partitions have locations of their own, so the table is registered anew on the new files.
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        self.drop(table)
-        self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{location}'"
-        )
-        self.spark.catalog.recoverPartitions(self.name(table))
+        else:
+            self._register_anew(df.schema, table, location)
+        self.spark.catalog.refreshTable(self.name(table))
+        self.drop_old_files(table, keep=1)
+
+    def _register_anew(self, schema: T.StructType, table: str, location: str) -> None:
+        """Point the table at files with other columns, or with partitions of their own. The new table
+        is complete before the old one goes; if this is cut short in between, ``exists`` goes on."""
+        partitions, fresh = self._partitions(table), self.name(table + NEXT)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        self.spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet {by} LOCATION '{location}'")
+        if partitions:
+            self.spark.catalog.recoverPartitions(fresh)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self._rename(table + NEXT, table)
 
     def _overwrite_partitions(self, df: DataFrame, table: str) -> None:
         if self.provider != "parquet":
             df.writeTo(self.name(table)).overwritePartitions()
             return
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*self._partitions(table)).parquet(self._location(table))
-        self.spark.catalog.recoverPartitions(self.name(table))
-        self.spark.catalog.refreshTable(self.name(table))
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:  # through the catalog, which registers the touched partitions only
+            df.select(self.read(table).columns).write.insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
 
     def _location(self, table: str) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")

@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tiermill.schemas import RATING_MESSAGE
+from tiermill.session import hadoop_path
 
 PAYLOAD = [f.name for f in RATING_MESSAGE.fields]
 TRIGGER = "10 seconds"
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
+
+_POSITION = [
+    T.StructField("processed_timestamp", T.TimestampType()),
+    T.StructField("_kafka_topic", T.StringType()),
+    T.StructField("_kafka_partition", T.IntegerType()),
+    T.StructField("_kafka_offset", T.LongType()),
+]
+_FOLDERS = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+STORED = T.StructType(
+    [*RATING_MESSAGE.fields, *_POSITION, *_FOLDERS, T.StructField("event_date", T.DateType())]
+)
+REJECTED = T.StructType([*_POSITION, T.StructField("raw", T.StringType()), *_FOLDERS])
 
 
 def parse_ratings(
@@ -45,11 +62,25 @@ def unreadable() -> Column:
     return F.coalesce(*[F.col(c).cast("string") for c in PAYLOAD]).isNull()
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: list[str]) -> None:
+def write_batch(
+    batch: DataFrame, batch_id: int, path: str, partition_by: list[str], run_id: str = "0"
+) -> None:
     """Write one micro-batch to a folder of its own. A replayed batch replaces that folder, so the
-    rows of a batch are stored once however often it runs."""
+    rows of a batch are stored once however often it runs. Batches are counted anew for each
+    checkpoint, so ``run_id`` names the checkpoint. An empty batch writes nothing."""
+    if batch.isEmpty():
+        return
+    if partition_by:
+        batch = batch.hint("rebalance", *partition_by)
     writer = batch.write.mode("overwrite").partitionBy(*partition_by)
-    writer.parquet(f"{path}/{BATCH}={batch_id}")
+    writer.parquet(f"{path}/{RUN}={run_id}/{BATCH}={batch_id}")
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when it made its checkpoint: the same after every restart,
+    another one for a new checkpoint."""
+    text = spark.read.text(os.path.join(checkpoint, "metadata"), wholetext=True).first()[0]
+    return json.loads(text)["id"]
 
 
 def start_bronze(
@@ -58,6 +89,7 @@ def start_bronze(
     checkpoint: str,
     rejected_path: str | None = None,
     until_caught_up: bool = False,
+    trigger: str = TRIGGER,
 ) -> StreamingQuery:
     """Start the stream from envelopes to bronze files; empty batches write nothing.
 
@@ -66,17 +98,17 @@ def start_bronze(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        if rejected_path is None:
-            write_batch(batch.drop("raw"), batch_id, path, ["event_date"])
-            return
-        # Two writes: kept, so that the topic is not read and parsed again for the second.
+        run = run_id(batch.sparkSession, checkpoint)
+        # Kept, so that the topic is not read and parsed again for the second look at it.
         batch.persist()
-        write_batch(batch.filter(~unreadable()).drop("raw"), batch_id, path, ["event_date"])
-        rejected = batch.filter(unreadable()).drop("event_date", *PAYLOAD)
-        write_batch(rejected, batch_id, rejected_path, [])
-        batch.unpersist()
+        try:
+            good = batch if rejected_path is None else batch.filter(~unreadable())
+            write_batch(good.drop("raw"), batch_id, path, ["event_date"], run)
+            if rejected_path is not None:
+                rejected = batch.filter(unreadable()).drop("event_date", *PAYLOAD)
+                write_batch(rejected, batch_id, rejected_path, [], run)
+        finally:
+            batch.unpersist()
 
     writer = (
         parse_ratings(envelopes, keep_raw=True)
@@ -86,18 +118,22 @@ def start_bronze(
     )
     if until_caught_up:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=TRIGGER).start()
+    return writer.trigger(processingTime=trigger).start()
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All stored batches as one table; ``event_date`` and ``batch_id`` prune by folder."""
-    return spark.read.parquet(path)
+def read_batches(spark: SparkSession, path: str, schema: T.StructType = STORED) -> DataFrame:
+    """All stored batches as one table, none if nothing was stored yet; ``event_date``, ``run_id`` and
+    ``batch_id`` prune by folder. Rejected messages have the schema REJECTED."""
+    folder, files = hadoop_path(spark, path)
+    if not files.exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def batch_counts(batches: DataFrame) -> DataFrame:
-    """(batch_id, row_count) of the stored batches. The progress of a query is no substitute: it
+    """(run_id, batch_id, row_count) of the stored batches. The progress of a query is no substitute: it
     counts a row once for every time that a batch is read."""
-    return batches.groupBy(BATCH).agg(F.count("*").alias("row_count"))
+    return batches.groupBy(RUN, BATCH).agg(F.count("*").alias("row_count"))
 
 
 def latest_rows(ratings: DataFrame, rows: int = 5) -> DataFrame:

@@ -145,19 +145,26 @@ FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey)
 """
 
-SCD2_CHANGES = f"""
-WITH updates AS (
+PRIORITY_UPDATES = """
+updates AS (
   SELECT o_custkey AS customer_id, o_orderpriority AS city, CAST(o_orderdate AS DATE) AS start_date
   FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE)
                              ORDER BY o_orderkey DESC) = 1
-), existing AS (
+)"""
+EXISTING = """
+existing AS (
   SELECT c_custkey AS customer_id,
          CASE WHEN version_id = 1 THEN '1-URGENT' ELSE c_mktsegment END AS city,
-         DATE '1997-01-01' + CAST((version_id - 1) * 365 AS INT) AS start_date, version_id
+         DATE '1997-01-01' + CAST((version_id - 1) * 365 AS INT) AS start_date, version_id,
+         CASE WHEN version_id = 1 AND c_custkey % 3 = 0 THEN DATE '1997-07-20' END AS closed_on,
+         'customer' || c_custkey || '-' || version_id AS email
   FROM (SELECT *, unnest(CASE WHEN c_acctbal > 0 THEN [1, 2] ELSE [1] END) AS version_id
         FROM customer)
-), history AS (
+)"""
+
+SCD2_CHANGES = f"""
+WITH {PRIORITY_UPDATES}, {EXISTING}, history AS (
   SELECT customer_id, city, start_date, 0 AS origin, version_id AS old FROM existing
   UNION ALL SELECT customer_id, city, start_date, 1, 0 FROM updates
 ), compared AS (
@@ -166,7 +173,12 @@ WITH updates AS (
 ), kept AS (
   SELECT * FROM compared WHERE origin = 0 OR city IS DISTINCT FROM before
 )
-SELECT customer_id, row_number() OVER w AS version_id, city,
+SELECT customer_id, city,
+       CASE WHEN origin = 0 THEN old
+            ELSE coalesce((SELECT max(version_id) FROM existing e
+                           WHERE e.customer_id = kept.customer_id), 0)
+                 + row_number() OVER (PARTITION BY customer_id, origin ORDER BY start_date)
+       END AS version_id,
        strftime(start_date, {DAY}) AS start_date,
        strftime(lead(start_date) OVER w, {DAY}) AS end_date,
        lead(start_date) OVER w IS NULL AS is_current, {NOW_TEXT} AS created_timestamp
@@ -174,6 +186,41 @@ FROM kept
 WINDOW w AS (PARTITION BY customer_id ORDER BY start_date, origin, old)
 """
 
+# By the rules: an update counts unless the version before it has its state and was not closed in
+# between; a version ends at the next start or at the first stored end after its start.
+SCD2_CLOSED = f"""
+WITH {PRIORITY_UPDATES}, {EXISTING}, points AS (
+  SELECT customer_id, city, start_date, version_id AS old, email, true AS is_old FROM existing
+  UNION ALL SELECT customer_id, city, start_date, NULL, NULL, false FROM updates
+), seen AS (
+  SELECT *, lag(city) OVER w AS city_before, lag(start_date) OVER w AS start_before
+  FROM points
+  WINDOW w AS (PARTITION BY customer_id ORDER BY start_date, is_old DESC, old)
+), counted AS (
+  SELECT s.* FROM seen s
+  WHERE is_old OR city_before IS DISTINCT FROM city
+     OR EXISTS (SELECT 1 FROM existing e WHERE e.customer_id = s.customer_id
+                AND e.closed_on > s.start_before AND e.closed_on <= s.start_date)
+), ended AS (
+  SELECT *, least(
+           lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date, is_old DESC, old),
+           (SELECT min(e.closed_on) FROM existing e
+            WHERE e.customer_id = counted.customer_id AND e.closed_on > counted.start_date)
+         ) AS until,
+         row_number() OVER (PARTITION BY customer_id, is_old ORDER BY start_date) AS nth
+  FROM counted
+), held AS (
+  SELECT customer_id, max(version_id) AS most, arg_max(email, start_date) AS last_email
+  FROM existing GROUP BY customer_id
+)
+SELECT ended.customer_id, city, coalesce(email, last_email) AS email,
+       CASE WHEN is_old THEN old ELSE coalesce(most, 0) + nth END AS version_id,
+       strftime(start_date, {DAY}) AS start_date, strftime(until, {DAY}) AS end_date,
+       until IS NULL AS is_current,
+       CASE WHEN is_old THEN '2020-01-01 00:00:00.000000' ELSE {NOW_TEXT} END AS created_timestamp
+FROM ended LEFT JOIN held ON held.customer_id = ended.customer_id
+"""
+
 RATINGS_STAR = f"""
 WITH {RATINGS}, {CUSTOMERS}, {RATINGS_CALENDAR}
 SELECT r.customer_id, c.first_name, c.last_name, r_name AS branch_name, p_name AS treatment_name,
@@ -222,7 +269,7 @@ NULL_KEY = (
     '(customer_id IS NULL OR branch_id IS NULL OR employee_id IS NULL OR treatment_id IS NULL'
     ' OR "timestamp" IS NULL)'
 )
-BLANK = "coalesce(comment IN ('', '   ', chr(10), chr(9), '   ' || chr(10) || '   '), false)"
+BLANK = "coalesce(trim(comment) = '', false)"
 FAULTS = {
     "bad_rating": BAD_RATING,
     "null_key": NULL_KEY,
@@ -524,3 +571,44 @@ UNION ALL SELECT 'gold_branch_kpis', count(DISTINCT branch_id) FROM cleaned
 UNION ALL SELECT 'gold_color_engagement', count(DISTINCT user_id % 42) FROM used
 UNION ALL SELECT 'gold_customer_metrics', count(DISTINCT customer_id) FROM cleaned""",
 }
+
+LATE = f"""
+WITH {INSTAGRAM}, later AS (
+  SELECT * REPLACE (likes + 1000 AS likes, ingestion_date + 1 AS ingestion_date) FROM instagram
+), stored AS (
+  SELECT * FROM instagram WHERE post_date < DATE '1998-01-01'
+  UNION ALL
+  SELECT * FROM (SELECT * FROM instagram UNION ALL SELECT * FROM later)
+  WHERE post_date >= DATE '1998-01-01'
+  QUALIFY row_number() OVER (PARTITION BY post_id, color_id, post_date
+                             ORDER BY ingestion_date DESC, likes DESC, comments DESC) = 1
+)
+SELECT * REPLACE (strftime(post_date, {DAY}) AS post_date,
+                  strftime(ingestion_date, {DAY}) AS ingestion_date)
+"""
+
+ORACLES |= {
+    "stream_new_checkpoint": ORACLES["stream_bronze"],
+    "stream_table": ORACLES["stream_bronze"],
+    "stream_rejected_all": f"""
+WITH {MESSAGES}
+SELECT 'no json' AS raw, _kafka_topic, _kafka_partition, _kafka_offset,
+       CAST(0 AS BIGINT) AS bronze_rows
+FROM parsed WHERE customer_id IS NULL""",
+    "replace_new_columns": "SELECT o_orderstatus AS status, o_custkey AS owner FROM orders",
+    "table_append": """
+SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer""",
+    "store_tables": """
+SELECT 'silver_inventory' AS table_name, count(*) AS row_count
+FROM events WHERE floor(value) - 5 > 0
+UNION ALL SELECT 'silver_ratings', CAST(0 AS BIGINT)""",
+    "late_posts_stored": LATE + "FROM stored",
+    "late_posts_rejected": LATE + "FROM later WHERE post_date < DATE '1998-01-01'",
+    "scd2_closed": SCD2_CLOSED,
+    "ratings_star_all_hot": ORACLES["ratings_star"],
+    "refresh_silver_inventory": f"""
+SELECT event_id AS record_id, CAST(event_id % 5 AS INT) AS branch_id,
+       CAST(user_id % 42 AS INT) AS color_id, CAST(floor(value) AS INT) - 5 AS quantity_used,
+       strftime(CAST(ts AS DATE), {DAY}) AS report_date, {NOW_TEXT} AS ingestion_time
+FROM events WHERE floor(value) - 5 > 0""",
+}

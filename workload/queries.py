@@ -15,7 +15,7 @@ from tiermill.operators.history import scd2_from_changes, scd2_from_events
 from tiermill.plans import gold, silver, stars
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
-from tiermill.plans.refresh import Sources, refresh
+from tiermill.plans.refresh import Sources, refresh, run_job
 from tiermill.session import new_path
 from tiermill.sources.envelope import read_envelope_files
 from tiermill.sources.tables import TableStore
@@ -84,8 +84,32 @@ def late_posts(spark, sf_dir):
             "ingestion_date": F.date_add("ingestion_date", 1),
         }
     )
-    since = F.lit("1998-01-03 00:00:00").cast("timestamp_ntz")
-    return presented(silver.merge_late_posts(posts, later, since))
+    return presented(silver.merge_late_posts(posts, later, _late_at())[0])
+
+
+def _late_at():
+    return F.lit("1998-01-03 00:00:00").cast("timestamp_ntz")
+
+
+def _late_store(spark, sf_dir) -> TableStore:
+    """All posts stored, then merged by the job with a late copy of each."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("late"))
+    posts = v.instagram(spark, sf_dir)
+    store.write(posts, "bronze_instagram", "create")
+    later = posts.withColumns(
+        {"likes": F.col("likes") + 1000, "ingestion_date": F.date_add("ingestion_date", 1)}
+    )
+    sources = Sources(late_instagram_csv=_as_csv(later, "late-csv"))
+    run_job("late_instagram", store, sources, _late_at())
+    return store
+
+
+def late_posts_stored(spark, sf_dir):
+    return presented(_late_store(spark, sf_dir).read("bronze_instagram"))
+
+
+def late_posts_rejected(spark, sf_dir):
+    return presented(_late_store(spark, sf_dir).read("rejected_late_posts"))
 
 
 # Gold
@@ -151,6 +175,19 @@ def scd2_changes_sliced(spark, sf_dir):
     return _changes(spark, sf_dir, hot_group_rows=0)
 
 
+def scd2_closed(spark, sf_dir):
+    """Updates on versions with stored ends, gaps, stamps and a column that updates lack."""
+    result = scd2_from_changes(
+        v.closed_versions(spark, sf_dir),
+        v.priority_updates(spark, sf_dir),
+        "customer_id",
+        ["city"],
+        v.as_of(),
+        newest_by=["sequence"],
+    )
+    return presented(result)
+
+
 # Stars
 
 
@@ -180,6 +217,11 @@ def ratings_star_salted(spark, sf_dir):
     return _ratings_star(spark, sf_dir, broadcast_rows=0, hot_key_rows=20)
 
 
+def ratings_star_all_hot(spark, sf_dir):
+    """The same with every key taken to be hot."""
+    return _ratings_star(spark, sf_dir, broadcast_rows=0, hot_key_rows=0)
+
+
 def sessions_star(spark, sf_dir):
     return presented(
         stars.sessions_star(
@@ -382,24 +424,60 @@ def json_parse(spark, sf_dir):
     return presented(parsed, as_text=RATING_IDS)
 
 
-def _streamed(spark, sf_dir, rejected=False):
-    folder = new_path(spark, "stream")
-    v.envelopes(spark, sf_dir).write.parquet(f"{folder}/topic")
+def _stream(spark, messages, folder, run, rejected=False):
+    messages.write.parquet(f"{folder}/topic-{run}")
     query = stream.start_bronze(
-        read_envelope_files(spark, f"{folder}/topic"),
+        read_envelope_files(spark, f"{folder}/topic-{run}"),
         f"{folder}/bronze",
-        f"{folder}/checkpoint",
+        f"{folder}/checkpoint-{run}",
         rejected_path=f"{folder}/rejected" if rejected else None,
         until_caught_up=True,
     )
     query.awaitTermination()
+
+
+def _streamed(spark, sf_dir, rejected=False):
+    folder = new_path(spark, "stream")
+    _stream(spark, v.envelopes(spark, sf_dir), folder, 0, rejected)
     return folder
 
 
+def _stored_ratings(rows):
+    hidden = (stream.RUN, stream.BATCH, "processed_timestamp")
+    return presented(rows.drop(*hidden), as_text=RATING_IDS)
+
+
 def stream_bronze(spark, sf_dir):
     folder = _streamed(spark, sf_dir)
-    rows = stream.read_batches(spark, f"{folder}/bronze")
-    return presented(rows.drop("batch_id", "processed_timestamp"), as_text=RATING_IDS)
+    return _stored_ratings(stream.read_batches(spark, f"{folder}/bronze"))
+
+
+def stream_new_checkpoint(spark, sf_dir):
+    """Half of the messages with one checkpoint, the others with a new one on the same folder."""
+    folder, messages = new_path(spark, "stream"), v.envelopes(spark, sf_dir)
+    for run in (0, 1):
+        _stream(spark, messages.filter(F.col("offset") % 2 == run), folder, run)
+    return _stored_ratings(stream.read_batches(spark, f"{folder}/bronze"))
+
+
+def stream_table(spark, sf_dir):
+    """The stream's days written to the bronze table, twice."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("stream"))
+    sources = Sources(ratings_path=f"{_streamed(spark, sf_dir)}/bronze")
+    for _ in range(2):
+        run_job("bronze_ratings", store, sources, v.as_of())
+    return _stored_ratings(store.read("bronze_ratings"))
+
+
+def stream_rejected_all(spark, sf_dir):
+    """No message is a rating: all are set aside, and bronze is there and empty."""
+    folder = new_path(spark, "stream")
+    messages = v.envelopes(spark, sf_dir).filter("string(value) = 'no json'")
+    _stream(spark, messages, folder, 0, rejected=True)
+    stored = stream.read_batches(spark, f"{folder}/bronze").count()
+    rows = stream.read_batches(spark, f"{folder}/rejected", stream.REJECTED)
+    columns = ("raw", "_kafka_topic", "_kafka_partition", "_kafka_offset")
+    return rows.select(*columns, F.lit(stored).cast("bigint").alias("bronze_rows"))
 
 
 def stream_batch_counts(spark, sf_dir):
@@ -411,7 +489,7 @@ def stream_batch_counts(spark, sf_dir):
 
 def stream_rejected(spark, sf_dir):
     folder = _streamed(spark, sf_dir, rejected=True)
-    rows = stream.read_batches(spark, f"{folder}/rejected")
+    rows = stream.read_batches(spark, f"{folder}/rejected", stream.REJECTED)
     return rows.select("raw", "_kafka_topic", "_kafka_partition", "_kafka_offset")
 
 
@@ -434,8 +512,39 @@ def partition_overwrite(spark, sf_dir):
     return presented(stored, as_text=("customer_id",))
 
 
-def full_refresh(spark, sf_dir):
-    """All tables from CSV files and a message stream made from the given tables."""
+def replace_new_columns(spark, sf_dir):
+    """A table of keys is replaced by one with other columns."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("replace"))
+    orders = v.table(spark, sf_dir, "orders")
+    store.write(orders.select(F.col("o_orderkey").alias("id")), "plain", "create")
+    named = orders.select(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("owner"))
+    store.write(named, "plain", "replace")
+    return store.read("plain")
+
+
+def table_append(spark, sf_dir):
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("append"))
+    customers = v.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    for _ in range(2):
+        store.write(customers, "plain", "append")
+    return store.read("plain")
+
+
+def store_tables(spark, sf_dir):
+    """The tables of a store with their rows: one declared and empty, one partitioned and replaced; a
+    dropped one is not listed."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("tables"))
+    store.create("silver_ratings")
+    used = silver.silver_inventory(v.event_inventory(spark, sf_dir), v.as_of())
+    for mode in ("create", "replace"):
+        store.write(used, "silver_inventory", mode)
+    store.write(v.table(spark, sf_dir, "region"), "dropped", "create")
+    store.drop("dropped")
+    return quality.layer_counts({name: store.read(name) for name in store.tables()})
+
+
+def _refreshed(spark, sf_dir) -> tuple[TableStore, DataFrame]:
+    """All tables from CSV files and a message stream made from the given tables, and their counts."""
     store = TableStore(spark, new_path(spark, "store"), database=_new_database("refresh"))
     tables = ["dim_branches", "dim_employees", "dim_colors", "dim_customers", "dim_treatments"]
     sources = Sources(
@@ -444,7 +553,16 @@ def full_refresh(spark, sf_dir):
         dimension_files={t: _dimension_csv(spark, sf_dir, t) for t in [*tables, "dim_date"]},
         ratings_path=f"{_streamed(spark, sf_dir)}/bronze",
     )
-    return refresh(store, sources, v.as_of().cast("timestamp"))
+    return store, refresh(store, sources, v.as_of().cast("timestamp"))
+
+
+def full_refresh(spark, sf_dir):
+    return _refreshed(spark, sf_dir)[1]
+
+
+def refresh_silver_inventory(spark, sf_dir):
+    """The rows of a table after the full refresh."""
+    return presented(_refreshed(spark, sf_dir)[0].read("silver_inventory"))
 
 
 QUERIES: dict[str, Query] = {
@@ -490,6 +608,17 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "stream_batch_counts": stream_batch_counts,
     "stream_rejected": stream_rejected,
+    "stream_new_checkpoint": stream_new_checkpoint,
+    "stream_table": stream_table,
+    "stream_rejected_all": stream_rejected_all,
     "partition_overwrite": partition_overwrite,
+    "replace_new_columns": replace_new_columns,
+    "table_append": table_append,
+    "store_tables": store_tables,
+    "late_posts_stored": late_posts_stored,
+    "late_posts_rejected": late_posts_rejected,
+    "scd2_closed": scd2_closed,
+    "ratings_star_all_hot": ratings_star_all_hot,
+    "refresh_silver_inventory": refresh_silver_inventory,
     "full_refresh": full_refresh,
 }

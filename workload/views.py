@@ -190,6 +190,17 @@ def city_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def closed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of ``city_versions`` with an email and a stamp; first versions of some customers
+    were closed, with and without a later one."""
+    return city_versions(spark, sf_dir).selectExpr(
+        "*",
+        "concat('customer', customer_id, '-', version_id) AS email",
+        "CASE WHEN version_id = 1 AND customer_id % 3 = 0 THEN date'1997-07-20' END AS end_date",
+        "timestamp'2020-01-01 00:00:00' AS created_timestamp",
+    )
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as message envelopes; some hold no JSON, some a rating that is no number."""
     body = F.to_json(
