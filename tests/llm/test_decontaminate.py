@@ -6,7 +6,7 @@ import xxhash
 from tiermill.llm import decontaminate
 from tiermill.llm.decontaminate import contaminated, without_contaminated
 from tiermill.llm.queries import op2_decontamination
-from tests_llm_text import prose
+from tests_llm_text import no_docs, prose  # noqa: F401
 
 SF_DIR = "/root/testdata/sf0.001"
 

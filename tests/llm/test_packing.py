@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tests_llm_text import edge_docs, no_docs  # noqa: F401
 from tiermill.llm import packing
 from tiermill.llm.packing import Encoder, Places, pack, plan
 from tiermill.llm.queries import TOKENIZER, op10_packing

@@ -3,11 +3,12 @@ from collections import Counter
 from test_decontaminate import brute as brute_contaminated
 from test_packing import check as check_packing
 from test_simhash import brute_components, plain_fingerprint
+from tests_llm_text import edge_docs  # noqa: F401
 
 import corpus_pipeline
 from corpus_pipeline import STAGES, run
-from tiermill.llm.toxicity import toxicity
 from tiermill.llm.substring import repeated_passages, without_words
+from tiermill.llm.toxicity import toxicity
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -1,5 +1,6 @@
 import numpy as np
 
+from tests_llm_text import edge_docs, no_docs  # noqa: F401
 from tiermill.llm.quality import (
     BAD,
     GOOD,

@@ -4,6 +4,7 @@ from collections import defaultdict
 import pandas as pd
 import pytest
 
+from tests_llm_text import edge_docs, no_docs  # noqa: F401
 from tiermill.llm.queries import op9_sharding
 from tiermill.llm.sharding import schedule, shard_by_bytes
 

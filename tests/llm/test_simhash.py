@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tests_llm_text import edge_docs, no_docs  # noqa: F401
 from tiermill.llm import simhash
 from tiermill.llm.components import components
 from tiermill.llm.queries import op8_simhash

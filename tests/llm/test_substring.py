@@ -3,7 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from tests_llm_text import prose
+from tests_llm_text import edge_docs, no_docs, prose  # noqa: F401
 
 from tiermill.llm import substring
 from tiermill.llm.queries import op1_substring

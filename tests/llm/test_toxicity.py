@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from tests_llm_text import edge_docs, no_docs  # noqa: F401
 from tiermill.llm import toxicity as tox
 from tiermill.llm.queries import op6_toxicity
 from tiermill.llm.toxicity import toxicity, without_toxic

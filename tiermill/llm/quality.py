@@ -225,7 +225,11 @@ def quality_scores(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
             effect, constant = train(texts, posterior(prior, chances, np.array(of)))
             yield pd.DataFrame({"effect": [effect.tobytes()], "constant": [constant]})
 
-    sample = docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("hash"))
+    # About twice as many rows as are wanted, by their hash, before the smallest ones are taken:
+    # otherwise every task would send as many texts as are wanted in all.
+    part = min(1.0, 2 * rows / max(1, int(counted["count"].sum())))
+    sample = docs.filter("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("hash"))
+    sample = sample.filter(F.pmod("hash", F.lit(1 << 30)) < int(part * (1 << 30)))
     sample = written(sample.orderBy("hash", "text").limit(rows), "quality-sample")
     one = sample.repartition(1).sortWithinPartitions("hash").select("text")
     model = one.mapInPandas(fitted, "effect binary, constant double").collect()
