@@ -227,14 +227,21 @@ def _scorer(name: str, model: tuple[np.ndarray, float]) -> Scorer:
     return _SCORERS[name]
 
 
-def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """The model of ``text`` and ``toxic``. Of each label the ``rows`` texts with the smallest hash
-    are taken, whose words one task counts and fits; rows without text or label are left out. Without
-    rows of both labels, every score is the share of label 1."""
-    some = labelled.filter("text IS NOT NULL AND toxic IN (0, 1)").select("text", "toxic")
-    some = some.withColumn("hash", F.xxhash64("text", "toxic"))
-    parts = [some.filter(f"toxic = {k}").orderBy("hash").limit(rows) for k in (0, 1)]
-    sample = written(parts[0].union(parts[1]), "toxic-sample")
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
+    """The model of the texts of ``docs`` and their label ``toxic`` in ``labels``. Of each label the
+    ``rows`` documents with the smallest hash of their id are taken, whose words one task counts and
+    fits; rows without text or label are left out. Without rows of both labels, every score is the
+    share of label 1.
+
+    The documents are chosen among the labels, so that only these few ids, at most two times ``rows``,
+    are broadcast to the texts."""
+    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic").distinct()
+    known = known.withColumn("hash", F.xxhash64("doc_id", "toxic"))
+    parts = [known.filter(f"toxic = {k}").orderBy("hash", "doc_id").limit(rows) for k in (0, 1)]
+    chosen = written(parts[0].union(parts[1]), "toxic-labels")
+    texts = docs.filter("text IS NOT NULL").select("doc_id", "text")
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "hash")
+    sample = written(sample, "toxic-sample")
     have = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(have) < 2:
         share = 0.5 if not have else float(next(iter(have)))
@@ -249,7 +256,7 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]
             effect, constant = train(bags)
             yield pd.DataFrame({"effect": [effect.tobytes()], "constant": [constant]})
 
-    one = sample.repartition(1).sortWithinPartitions("hash").select("text", "toxic")
+    one = sample.repartition(1).sortWithinPartitions("hash", "text").select("text", "toxic")
     model = one.mapInPandas(fitted, "effect binary, constant double").collect()
     if not model:
         return np.zeros(BUCKETS, np.float32), 0.0
@@ -281,9 +288,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     held_out = F.coalesce(held_out, F.lit(False))
-    known = labels.select("doc_id", "toxic").filter(~held_out).distinct()
-    model = fit(docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic"))
-    score = score_column(docs.sparkSession, model)
+    score = score_column(docs.sparkSession, fit(docs, labels.filter(~held_out)))
     scored = docs.select("doc_id", held_out.alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
@@ -291,7 +296,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic; the model learns as in ``toxicity``."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
-    known = labels.select("doc_id", "toxic").filter(~held_out).distinct()
-    model = fit(docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic"))
-    score = score_column(docs.sparkSession, model)
+    score = score_column(docs.sparkSession, fit(docs, labels.filter(~held_out)))
     return docs.filter(score("text") < THRESHOLD)
