@@ -73,6 +73,7 @@ def test_ids_equal_the_whole_text(text):
 
 def test_forgetting_does_not_change_ids(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "REMEMBERED_CHUNKS", 2)
     text = "one, two three. four FIVE six seven one two three nine, ten eleven"
     assert Encoder(PATH)(text) == np.array(ids(text)[:-1], "<u4").tobytes()
 

@@ -22,8 +22,10 @@ from tiermill.session import written
 LENGTH = 4096
 END_ID = 1
 
-# Chunks and words whose ids a Python worker remembers; the older half goes when they are exceeded.
-REMEMBERED = 250_000
+# Words and chunks whose ids a Python worker remembers; the older half goes when twice as many are.
+# Words cost more to find again. Together they take about 130 MB.
+REMEMBERED = 200_000
+REMEMBERED_CHUNKS = 100_000
 
 # The words of the tokenizer file's own splitting rule.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -45,10 +47,10 @@ def byte_letters() -> list[str]:
 
 
 class Memory:
-    """A dictionary that keeps the entries of its last REMEMBERED to 2 * REMEMBERED additions."""
+    """A dictionary that keeps the entries of its last ``most`` to 2 * ``most`` additions."""
 
-    def __init__(self, make):
-        self.make, self.new, self.old = make, {}, {}
+    def __init__(self, make, most: int):
+        self.make, self.most, self.new, self.old = make, most, {}, {}
 
     def __getitem__(self, key):
         found = self.new.get(key)
@@ -56,7 +58,7 @@ class Memory:
             found = self.old.get(key)
             if found is None:
                 found = self.make(key)
-            if len(self.new) >= REMEMBERED:
+            if len(self.new) >= self.most:
                 self.old, self.new = self.new, {}
             self.new[key] = found
         return found
@@ -73,7 +75,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = {i: c for i, c in enumerate(byte_letters())}
-        self.words, self.chunks = Memory(self._word), Memory(self._chunk)
+        self.words = Memory(self._word, REMEMBERED)
+        self.chunks = Memory(self._chunk, REMEMBERED_CHUNKS)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids

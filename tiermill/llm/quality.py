@@ -23,7 +23,7 @@ BUCKETS = 1 << 18
 EPOCHS = 200
 RATE = 0.05
 DECAY = 1e-4
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 THRESHOLD = 0.5
 
 # Frequent words of four languages.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -29,7 +30,7 @@ DECAY = 1e-4
 WINDOW = 16
 SCALE = 10.0
 THRESHOLD = 0.7
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 WORD = re.compile(r"\w+")
 
 
@@ -194,7 +195,8 @@ class Scorer:
     """Probability of label 1, remembering what each word adds to it."""
 
     def __init__(self, effect: np.ndarray, constant: float):
-        self.effect, self.constant, self.known = effect.tolist(), constant, {}
+        # Plain 32-bit numbers: a list of objects would take ten times the memory.
+        self.effect, self.constant, self.known = array("f", effect.tobytes()), constant, {}
 
     def word(self, word: str) -> float:
         if len(self.known) >= REMEMBERED:
