@@ -188,3 +188,23 @@ def test_ends_go_over_changes():
 def test_spans_may_overlap():
     assert without_words("a b  c d e\n", [1, 2], [3, 4]) == "a e\n"
     assert without_words(" a b", [0], [2]) == " "
+
+
+def covered(found):
+    return {i for start, stop, *_ in found for i in range(start, stop)}
+
+
+def all_matches(a, b):
+    return np.array([(i, j) for i in range(len(a) - 7) for j in range(len(b) - 7) if (a[i : i + 8] == b[j : j + 8]).all()])
+
+
+def test_passages_that_begin_in_another_are_reported():
+    rng = np.random.default_rng(6)
+    p1, y, p2, between = (rng.integers(0, 2**32, n).astype(np.uint32) for n in (80, 12, 60, 300))
+    a, b = np.concatenate([p1, y, p2]), np.concatenate([p1, y, between, y, p2])
+    found = passages_of(a, b, all_matches(a, b), 45, 0.8)
+    assert covered(found) == set(range(len(a)))
+    # 40 words beyond the shared line are under 45 alone.
+    found = passages_of(a[:132], b, all_matches(a[:132], b), 45, 0.8)
+    assert covered(found) == set(range(132))
+    assert len(passages_of(b, b, all_matches(b, b), 45, 0.8)) == 1

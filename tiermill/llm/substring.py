@@ -201,13 +201,15 @@ def passages_of(
     a: np.ndarray, b: np.ndarray, matches: np.ndarray, min_words: int, min_similarity: float
 ) -> list[tuple[int, int, int, int, int, float]]:
     """Aligned passages of two documents: start and stop in each, equal words, similarity."""
-    segments, out = _segments(a, b, matches), []
-    for chain in chains(segments):
-        x, y, length = segments[chain[0]].tolist()
-        if any(x < stop and x + length > start for start, stop, *_ in out):
-            continue
+    segments, out, later = _segments(a, b, matches), [], []
+    reported = np.zeros(len(a), bool)
+
+    def report(chain: list[list[int]]) -> None:
+        x, y, length = chain[0]
+        if all(reported[x : x + length].all() for x, _, length in chain):
+            return
         x2, y2, equal = x + length, y + length, length
-        for x1, y1, length in segments[chain[1:]].tolist():
+        for x1, y1, length in chain[1:]:
             equal += length + _common(a[x2:x1], b[y2:y1])
             x2, y2 = x1 + length, y1 + length
         more_x, more_y, more = _extended(a[x2:], b[y2:])
@@ -217,6 +219,18 @@ def passages_of(
         similarity = equal / max(x2 - x, y2 - y)
         if x2 - x >= min_words and similarity >= min_similarity:
             out.append((x, x2, y, y2, equal, similarity))
+            reported[x:x2] = True
+
+    for chain in chains(segments):
+        x, _, length = segments[chain[0]].tolist()
+        if reported[x : x + length].any():
+            later.append(segments[chain].tolist())
+        else:
+            report(segments[chain].tolist())
+    # Chains that begin in a reported passage come after the others and may overlap it: what they have
+    # besides would be too short alone where only the whole run has the words of a passage.
+    for chain in later:
+        report(chain)
     return out
 
 
