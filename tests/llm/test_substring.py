@@ -208,3 +208,20 @@ def test_passages_that_begin_in_another_are_reported():
     found = passages_of(a[:132], b, all_matches(a[:132], b), 45, 0.8)
     assert covered(found) == set(range(132))
     assert len(passages_of(b, b, all_matches(b, b), 45, 0.8)) == 1
+
+
+def test_chains_that_are_not_alike_are_split():
+    rng = np.random.default_rng(7)
+    p1, p2, p3, gap, other = (rng.integers(0, 2**32, n).astype(np.uint32) for n in (100, 60, 92, 45, 30))
+    a, b = np.concatenate([p1, p2, p3]), np.concatenate([p1, gap, p2, other, p3])
+    matches = all_matches(a, b)
+    assert len(chains(substring._segments(a, b, matches))) == 1
+    assert covered(passages_of(a, b, matches, 45, 0.8)) == set(range(len(a)))
+
+
+def test_ends_that_lower_the_similarity_are_left():
+    rng = np.random.default_rng(8)
+    core, tail = (rng.integers(0, 2**32, n).astype(np.uint32) for n in (45, 4000))
+    b = np.concatenate([core, tail[np.arange(4000) % 4 > 0]])
+    found = passages_of(np.concatenate([core, tail]), b, np.array([[0, 0]]), 45, 0.8)
+    assert found == [(0, 45, 0, 45, 45, 1.0)]

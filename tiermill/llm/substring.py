@@ -205,21 +205,31 @@ def passages_of(
     reported = np.zeros(len(a), bool)
 
     def report(chain: list[list[int]]) -> None:
-        x, y, length = chain[0]
-        if all(reported[x : x + length].all() for x, _, length in chain):
-            return
-        x2, y2, equal = x + length, y + length, length
-        for x1, y1, length in chain[1:]:
-            equal += length + _common(a[x2:x1], b[y2:y1])
-            x2, y2 = x1 + length, y1 + length
-        more_x, more_y, more = _extended(a[x2:], b[y2:])
-        less_x, less_y, less = _extended(a[:x][::-1], b[:y][::-1])
-        x, x2, y, y2 = x - less_x, x2 + more_x, y - less_y, y2 + more_y
-        equal += more + less
-        similarity = equal / max(x2 - x, y2 - y)
-        if x2 - x >= min_words and similarity >= min_similarity:
-            out.append((x, x2, y, y2, equal, similarity))
-            reported[x:x2] = True
+        ends = [(x + length, y + length) for x, y, length in chain]
+        inside = [_common(a[e:x], b[f:y]) for (e, f), (x, y, _) in zip(ends, chain[1:])]
+        costs = [x - e + y - f for (e, f), (x, y, _) in zip(ends, chain[1:])]
+        parts = [(0, len(chain))]
+        while parts:
+            low, high = parts.pop()
+            if all(reported[x : x + length].all() for x, _, length in chain[low:high]):
+                continue
+            (x, y, _), (x2, y2) = chain[low], ends[high - 1]
+            equal = sum(length for *_, length in chain[low:high]) + sum(inside[low : high - 1])
+            bare = (x, x2, y, y2, equal)
+            more_x, more_y, more = _extended(a[x2:], b[y2:])
+            less_x, less_y, less = _extended(a[:x][::-1], b[:y][::-1])
+            grown = (x - less_x, x2 + more_x, y - less_y, y2 + more_y, equal + more + less)
+            for x, x2, y, y2, equal in (grown, bare):
+                similarity = equal / max(x2 - x, y2 - y)
+                if x2 - x >= min_words and similarity >= min_similarity:
+                    out.append((x, x2, y, y2, equal, similarity))
+                    reported[x:x2] = True
+                    break
+            else:
+                # Not alike as a whole: the parts on either side of the costliest gap may be.
+                if high - low > 1:
+                    cut = max(range(low, high - 1), key=costs.__getitem__) + 1
+                    parts += [(cut, high), (low, cut)]
 
     for chain in chains(segments):
         x, _, length = segments[chain[0]].tolist()
