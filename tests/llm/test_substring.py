@@ -225,3 +225,34 @@ def test_ends_that_lower_the_similarity_are_left():
     b = np.concatenate([core, tail[np.arange(4000) % 4 > 0]])
     found = passages_of(np.concatenate([core, tail]), b, np.array([[0, 0]]), 45, 0.8)
     assert found == [(0, 45, 0, 45, 45, 1.0)]
+
+
+def test_first_holders_of_parts_do_not_hide_a_passage(spark):
+    passage = prose(200, 60).split()
+    head, tail = " ".join(passage[:30]), " ".join(passage[25:])
+    twice = prose(201, 60).split()
+    docs = [
+        (1, f"{prose(210, 50)} {head} {prose(211, 50)}"),
+        (2, f"{prose(212, 50)} {tail} {prose(213, 50)}"),
+        (3, f"{prose(214, 40)} {' '.join(passage)} {prose(215, 70)}"),
+        (4, f"{prose(216, 70)} {' '.join(passage)} {prose(217, 20)}"),
+        # The source itself has the parts before the whole passage.
+        (5, " ".join([*twice[:30], prose(218, 60), *twice[25:], prose(219, 60), *twice, prose(220, 9)])),
+        (6, f"{prose(221, 33)} {' '.join(twice)} {prose(222, 44)}"),
+    ]
+    found = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    rows = {(r["doc_id"], r["source_doc_id"], r["start"], r["stop"], r["source_start"]) for r in found}
+    assert rows == {(4, 3, 70, 130, 40), (6, 5, 33, 93, 30 + 60 + 35 + 60)}
+
+
+def test_long_common_runs_share_a_taken_run():
+    rng = np.random.default_rng(9)
+    for _ in range(100):
+        common = rng.integers(0, 2**32, 50).astype(np.uint64)
+        a, b = (
+            np.concatenate([rng.integers(0, 2**32, rng.integers(0, 40)).astype(np.uint64), common])
+            for _ in range(2)
+        )
+        (x, p), (y, q) = (substring.runs_of(w, np.zeros(0, int), np.zeros(0, int), 45) for w in (a, b))
+        assert set(x) & set(y)
+        assert not len(substring.runs_of(a, np.arange(len(a)), np.zeros(0, int), 45)[0])

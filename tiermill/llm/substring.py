@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,9 @@ MIN_WORDS = 45
 MIN_SIMILARITY = 0.8
 # What a skipped word costs in words gained, on each side.
 GAP_COST = 2
+# Whole runs of the least length of a passage are compared as well, the least of so many in a row: any
+# MIN_WORDS + RUN_WINDOW - 1 = 50 words that two documents share in a row have a taken run in common.
+RUN_WINDOW = 6
 
 WORD = re.compile("[^ \t-\r]+")
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -60,9 +63,32 @@ def seeds_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if count < 1:
         return words[:0], np.zeros(0, np.int64)
     mixed = _mixed(sum(words[j : j + count] * POWERS[j] for j in range(SEED_WORDS)))
-    width = min(WINDOW, count)
-    rows = np.lib.stride_tricks.sliding_window_view(mixed, width)
-    places = np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
+    places = _least(mixed, WINDOW)
+    return mixed[places], places
+
+
+def _least(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least of every ``window`` hashes in a row."""
+    rows = np.lib.stride_tricks.sliding_window_view(hashes, min(window, len(hashes)))
+    return np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
+
+
+def runs_of(
+    words: np.ndarray, taken: np.ndarray, other: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the taken runs of ``length`` words of which no taken seed is outside of
+    ``other``, the places of seeds that are linked to another place."""
+    count = len(words) - length + 1
+    if count < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    mixed = np.zeros(count, np.uint64)
+    for j in range(length):
+        mixed = mixed * ODD + words[j : j + count]
+    mixed = _mixed(mixed)
+    places = _least(mixed, RUN_WINDOW)
+    alone = np.setdiff1d(taken, other)
+    inside = np.searchsorted(alone, places + (length - SEED_WORDS), "right")
+    places = places[inside == np.searchsorted(alone, places)]
     return mixed[places], places
 
 
@@ -247,14 +273,16 @@ def passages_of(
 def _words(docs: DataFrame) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [word_hashes(t).astype("<u4").tobytes() for t in batch["text"].to_pylist()]
+            hashes = [word_hashes(t) for t in batch["text"].to_pylist()]
+            words = pa.array([h.astype("<u4").tobytes() for h in hashes], pa.binary())
+            taken = pa.array([seeds_of(h)[1].astype(np.int32) for h in hashes], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text_md5"], pa.array(words, pa.binary())],
-                names=["doc_id", "text_md5", "words"],
+                [batch["doc_id"], batch["text_md5"], words, taken],
+                names=["doc_id", "text_md5", "words", "taken"],
             )
 
     rows = docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "md5(text) AS text_md5", "text")
-    return rows.mapInArrow(hashed, "doc_id long, text_md5 string, words binary")
+    return rows.mapInArrow(hashed, "doc_id long, text_md5 string, words binary, taken array<int>")
 
 
 RESULT = (
@@ -276,28 +304,94 @@ def repeated_passages(
     end to end. Seeds are aggregated before they are shuffled and the joins by seed and by source have
     a small row per key on the other side, so adaptive execution splits their hot keys.
 
+    The first holders of the seeds of a passage may hold mere parts of it. So what is not in a passage
+    after that is linked again, by whole runs of ``min_words`` words, to the first that holds the run:
+    RUN_WINDOW - 1 words more that are repeated as they are always lie in a passage. A passage that was
+    changed every few words is found if the first holder of one of its seeds holds it.
+
     Null and short texts and rows without ``doc_id`` have no passages. Repeated rows are one document;
     where texts differ under one id, what fits either text is reported with its ``text_md5``. Other
     columns are ignored; an empty table gives an empty result.
     """
     found = written(seeds(docs, min_words), "seeds")
-    first = found.groupBy("seed").agg(
+    # The source's own other places of a seed stay, for the runs.
+    pairs = written(_pairs(found, F.max("doc_id"), "seed"), "seed-pairs")
+    links = pairs.filter("doc_id > source")
+    held = links.select("doc_id").union(links.select("source")).distinct()
+    held = broadcast_if_small(written(held, "seed-docs"), 16)
+    words = written(_words(docs.select("doc_id", "text").join(held, "doc_id")), "words")
+    passages = written(_aligned(links, words, min_words, min_similarity), "passages")
+    runs = written(_runs(pairs, words, passages, min_words), "runs")
+    last = F.max(F.expr("if(open, doc_id, NULL)"))
+    more = written(_pairs(runs, last, "run", "open").filter("doc_id > source"), "run-pairs")
+    return passages.union(_aligned(more, words, min_words, min_similarity)).distinct()
+
+
+def _pairs(found: DataFrame, last: Column, key: str, condition: str = "true") -> DataFrame:
+    """Documents with the first holder of a key, and the places in both. Keys are left out of which
+    the ``last`` holder is the first."""
+    first = found.groupBy(key).agg(
         F.min("doc_id").alias("source"),
-        F.max("doc_id").alias("last"),
+        last.alias("last"),
         F.min_by("pos", F.expr("if(first, doc_id, NULL)")).alias("source_pos"),
     )
     # Written, so that both sides of the join are plain shuffles, whose hot keys Spark can split.
-    first = written(first.filter("last > source").drop("last"), "seed-sources")
+    first = written(first.filter("last > source").drop("last"), f"{key}-sources")
     match = F.expr("shiftleft(cast(pos AS bigint), 32) | source_pos").alias("match")
-    links = found.drop("first").join(first, "seed").filter("doc_id > source")
-    links = links.select("doc_id", "source", match)
-    pairs = links.groupBy("doc_id", "source").agg(F.collect_set("match").alias("matches"))
-    pairs = written(pairs, "seed-pairs")
-    held = pairs.select("doc_id").union(pairs.select("source")).distinct()
-    held = broadcast_if_small(written(held, "seed-docs"), 16)
-    words = written(_words(docs.select("doc_id", "text").join(held, "doc_id")), "words")
+    links = found.filter(condition).select(key, "doc_id", "pos").join(first, key)
+    links = links.filter("doc_id > source OR pos <> source_pos").select("doc_id", "source", match)
+    return links.groupBy("doc_id", "source").agg(F.collect_set("match").alias("matches"))
+
+
+def _runs(pairs: DataFrame, words: DataFrame, passages: DataFrame, min_words: int) -> DataFrame:
+    """``run``, ``doc_id`` and ``pos`` of the taken runs of which no seed is the place that others are
+    linked to: where one is, alignment from there finds the run. ``open`` tells that a run is not in a
+    passage; those in an exact passage are left out, as an earlier document holds them."""
+    places = F.expr("flatten(collect_list(transform(matches, m -> cast(shiftright(m, 32) AS int))))")
+    places = pairs.groupBy("doc_id").agg(places.alias("places"))
+    spans = F.collect_list(F.struct("start", "stop", F.expr("similarity = 1").alias("exact")))
+    spans = passages.groupBy("doc_id", "text_md5").agg(spans.alias("spans"))
+    short_batches(pairs.sparkSession)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            columns = ("doc_id", "words", "taken", "places", "spans")
+            for doc_id, data, taken, other, inside in zip(*(batch[c] for c in columns)):
+                data = np.frombuffer(data.as_py(), "<u4").astype(np.uint64)
+                taken, other = taken.values.to_numpy(), other.values.to_numpy()
+                hashes, at = runs_of(data, taken, other, min_words)
+                reported, left = np.zeros(len(data) + 1, np.int64), np.ones(len(at), bool)
+                for span in inside.as_py() or ():
+                    reported[span["start"] + 1 : span["stop"] + 1] = 1
+                    if span["exact"]:
+                        left &= (at < span["start"]) | (at + min_words > span["stop"])
+                reported = np.cumsum(reported)
+                hashes, at = hashes[left], at[left]
+                first = np.zeros(len(at), bool)
+                first[np.unique(hashes, return_index=True)[1]] = True
+                open_ = reported[at + min_words] - reported[at] < min_words
+                found.append((hashes, np.full(len(at), doc_id.as_py(), np.int64), at, first, open_))
+            if not found:
+                continue
+            hashes, ids, at, first, open_ = map(np.concatenate, zip(*found))
+            columns = [hashes.view(np.int64), ids, at.astype(np.int32), first, open_]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns)], names=["run", "doc_id", "pos", "first", "open"]
+            )
+
+    rows = words.join(places, "doc_id").join(spans, ["doc_id", "text_md5"], "left")
+    rows = rows.select("doc_id", "words", "taken", "places", "spans")
+    return rows.mapInArrow(find, "run long, doc_id long, pos int, first boolean, open boolean")
+
+
+def _aligned(
+    pairs: DataFrame, words: DataFrame, min_words: int, min_similarity: float
+) -> DataFrame:
+    """The passages of linked documents."""
+    words = words.drop("taken")
     sources = words.select(F.col("doc_id").alias("source"), F.col("words").alias("source_words"))
-    short_batches(docs.sparkSession)
+    short_batches(pairs.sparkSession)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,7 +410,7 @@ def repeated_passages(
                 yield pa.RecordBatch.from_pandas(frame, schema=ARROW_RESULT, preserve_index=False)
 
     joined = pairs.join(words, "doc_id").join(sources, "source")
-    return joined.mapInArrow(align, RESULT).distinct()
+    return joined.mapInArrow(align, RESULT)
 
 
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
