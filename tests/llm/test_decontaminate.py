@@ -128,3 +128,41 @@ def test_plan_has_no_python(edge):
     docs, bench, *_ = edge
     text = contaminated(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def every_window(docs, items):
+    """The highest similarity of any window of a document's that is within the radius."""
+    out = {}
+    for item_id, item in items:
+        width = min(5, len(words(item)))
+        wanted = shingles(item, width) if width else []
+        for doc_id, text in docs:
+            of = shingles(text, width) if width else []
+            for start in range(max(1, len(of) - len(wanted) + 1)) if of and wanted else ():
+                window = of[start : start + len(wanted)]
+                a, b = Counter(window), Counter(wanted)
+                alike = (a & b).total() / (a | b).total()
+                if alike >= 0.8 and (simhash(window) ^ simhash(wanted)).bit_count() <= decontaminate.RADIUS:
+                    out[doc_id, item_id] = max(out.get((doc_id, item_id), 0), alike)
+    return out
+
+
+def test_every_window_counts(spark):
+    item = prose(80, 60).split()
+    turned = " ".join(item[30:] + item[:30])
+    moved = " ".join(["x", "y", *item[2:30], "put", "in", *item[30:58], "z"])
+    docs = [
+        (1, f"{prose(81, 100)} {turned} {prose(82, 100)}"),
+        (2, turned),
+        (3, f"{prose(83, 90)} {moved} {prose(84, 90)}"),
+        (4, f"{prose(85, 70)} {' '.join(item)} {turned} {prose(86, 70)}"),
+        (5, f"{prose(87, 70)} {' '.join(item[:40])}"),
+    ]
+    items = [(1, " ".join(item)), (2, prose(88, 60))]
+    frames = (
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in contaminated(*frames).collect()}
+    assert found == every_window(docs, items)
+    assert {(1, 1), (2, 1), (4, 1)} <= set(found)

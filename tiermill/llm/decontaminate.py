@@ -91,31 +91,36 @@ def _index(items: DataFrame) -> DataFrame:
 
 
 def _windows(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """Windows with as many shingles as an item (the whole text, if it has fewer), laid wherever they
-    have a shingle in the same place as the item.
+    """All windows with as many shingles as an item (the whole text, if it has fewer) of which enough
+    stand in items of that size to be similar by MIN_SIMILARITY.
 
-    A run of common shingles lays one window, at its first shingle. Texts are exploded in the stage
-    that reads them, and all but these positions are dropped by the join with the items' shingles.
+    Two bags of m and w shingles need s / (1 + s) * (m + w) in common for a similarity of s. So the
+    windows are those around that many places in a row with an item's shingle, if these fit into one.
+    Texts are exploded in the stage that reads them, and all but these places are dropped by the join
+    with the items' shingles; equal texts are looked at once.
     """
-    known = items.select("item_id", "m", F.posexplode("shingles").alias("j", "shingle"), "shingles")
-    known = known.select(
-        "m", "j", "shingle", F.expr("get(shingles, j - 1)").alias("before")
-    ).distinct()
-    known = broadcast_if_small(written(known, "item-shingles"), 64)
-    text = docs.select("doc_id", "text_md5", shingles_of("text", width).alias("of"))
+    known = items.select("m", F.explode("shingles").alias("shingle")).distinct()
+    known = broadcast_if_small(written(known, "item-shingles"), 32)
+    text = docs.select("text_md5", shingles_of("text", width).alias("of"))
     # The outer form: the other makes the optimizer compute the arrays twice, to drop empty ones.
-    every = F.posexplode_outer("of").alias("p", "shingle")
-    places = text.select("doc_id", "text_md5", "of", every)
-    hits = places.join(known, "shingle").filter(
-        "p = 0 OR j = 0 OR NOT (get(of, p - 1) <=> before)"
+    places = text.select("text_md5", F.size("of").alias("n"), F.posexplode_outer("of").alias("p", "shingle"))
+    hits = places.join(known, "shingle").groupBy("text_md5", "n", "m")
+    hits = hits.agg(F.sort_array(F.collect_set("p")).alias("ps"))
+    share = MIN_SIMILARITY / (1 + MIN_SIMILARITY)
+    least = f"cast(ceil({share} * (m + least(m, n)) - 1e-6) AS int)"
+    hits = hits.withColumn("k", F.expr(least)).filter("size(ps) >= k")
+    # From the first start that holds the k places from the i-th on to the last.
+    low, high = "greatest(0, ps[i + k - 1] - m + 1)", "least(ps[i], greatest(0, n - m))"
+    each = f"if({low} <= {high}, sequence({low}, {high}), cast(array() AS array<int>))"
+    starts = f"array_distinct(flatten(transform(sequence(0, size(ps) - k), i -> {each})))"
+    hits = hits.select("text_md5", "m", F.expr(starts).alias("starts")).filter("size(starts) > 0")
+    hits = broadcast_if_small(written(hits, "window-starts"), 256)
+    laid = docs.join(hits, "text_md5").select(
+        "doc_id", "text_md5", "m", "starts", shingles_of("text", width).alias("of")
     )
-    start = "greatest(0, least(p - j, size(of) - m))"
-    return hits.select(
-        "doc_id",
-        "text_md5",
-        "m",
-        F.expr(start).alias("start"),
-        F.expr(f"slice(of, {start} + 1, m)").alias("window"),
+    laid = laid.select("doc_id", "text_md5", "m", F.explode_outer("starts").alias("start"), "of")
+    return laid.select(
+        "doc_id", "text_md5", "m", "start", F.expr("slice(of, start + 1, m)").alias("window")
     )
 
 
