@@ -73,3 +73,17 @@ def test_query(spark):
     assert {r["page_id"]: r["text"] for r in found} == {i: render(h) for i, h in pages.items()}
     assert len(found) == len(pages)
     assert not any("track(" in r["text"] or "margin:0" in r["text"] for r in found)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>T</title><p>text", "text"),
+        ("<head><title>T</title>\n<meta charset=x><link href=y> text <b>b</b>", "text b"),
+        ("<head><style>s</style><script>x</script><noscript><p>n</p></noscript><h1>a</h1>b", "a\n\nb"),
+        ("<head><template><p>t</p></template><base href=x><div>a</div>", "a"),
+        ("<head>\n<title>T</title>\n</head>\n<body>a", "a"),
+    ],
+)
+def test_a_head_ends_without_a_tag(page, text):
+    assert render(page) == text

@@ -42,6 +42,10 @@ IMPLIED_ENDS = {
     "optgroup": ("option optgroup", "select"),
 }
 IMPLIED_ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in IMPLIED_ENDS.items()}
+# What may stand in a head; any other start tag or text ends it.
+HEAD = frozenset(
+    "head title meta link base basefont bgsound script style noscript template noframes".split()
+)
 SCOPES = frozenset("html table td th caption object template button".split())
 
 TOKEN = re.compile(
@@ -70,6 +74,8 @@ def parse(page: str) -> Node:
     stack, at = [root], 0
 
     def text(part: str) -> None:
+        if stack[-1].tag == "head" and part.strip(" \t\n\r\f"):
+            stack.pop()
         if part:
             stack[-1].children.append(html.unescape(part))
 
@@ -114,7 +120,7 @@ def parse(page: str) -> Node:
                 close(frozenset({"p"}), SCOPES)
             if tag in IMPLIED_ENDS:
                 close(*IMPLIED_ENDS[tag])
-            if tag == "body":
+            if tag == "body" or (tag not in HEAD and stack[-1].tag == "head"):
                 close(frozenset({"head"}), frozenset())
             if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr", {})
