@@ -87,3 +87,19 @@ def test_query(spark):
 )
 def test_a_head_ends_without_a_tag(page, text):
     assert render(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<a href="x"">a</a> <p>b</p>', "a\n\nb"),
+        ("<a href=/o'brien>a</a> b <i title='c'>d</i>", "a b d"),
+        ("<a title=say\"so>a</a><p hidden>b</p>c", "ac"),
+        ('<a "x>a</a><b title = "p>q">b</b>', "ab"),
+        ("<img alt='x>y'hidden><img alt=it's src=\"a'b\"> z", "it's z"),
+        ("<a href=>a</a><a =\"b>c</a>", "ac"),
+        ("a<b title='never ends>x", "a"),
+    ],
+)
+def test_quotes_open_strings_only_where_a_value_begins(page, text):
+    assert render(page) == text

@@ -48,12 +48,14 @@ HEAD = frozenset(
 )
 SCOPES = frozenset("html table td th caption object template button".split())
 
+# A quote opens a string only at the start of a value; elsewhere it is a letter like others.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>?",
+    r"|<([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+"
+    r"(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$)|[^\s>\"'][^\s>]*+)?)?+)*+)>?",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 # Lists and tables within each other that are indented and aligned.
 NESTED = 60
