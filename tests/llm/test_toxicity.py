@@ -59,3 +59,12 @@ def test_edge_rows(spark, edge_docs, no_docs):
     kept = without_toxic(edge_docs, labels)
     assert kept.columns == edge_docs.columns
     assert kept.count() == sum(r["predicted"] == 0 for r in found)
+
+
+def test_long_runs_are_scored_to_their_end(model):
+    run = "_".join(f"word{i}" for i in range(20))
+    pieces = tox.words_of(run)
+    assert max(map(len, pieces)) == 40 and pieces[0] + "".join(p[4:] for p in pieces[1:]) == run
+    assert tox.words_of("a" * 40) == ["a" * 40] and len(tox.words_of("a" * 41)) == 2
+    score = tox.Scorer(*model)
+    assert score(f"{run}_villain") > score(run) + 0.01

@@ -31,12 +31,14 @@ WINDOW = 16
 SCALE = 10.0
 THRESHOLD = 0.7
 REMEMBERED = 200_000
+# Letters of a word; longer runs are several words.
+LONGEST = 40
 WORD = re.compile(r"\w+")
 
 
 def subwords(word: str) -> list[int]:
     """Buckets of the word and of its character n-grams, with its ends marked."""
-    letters = f"<{word[:40]}>".encode("utf-16-le")
+    letters = f"<{word}>".encode("utf-16-le")
     low, high = GRAMS
     grams = [
         letters[i : i + 2 * n]
@@ -47,7 +49,17 @@ def subwords(word: str) -> list[int]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters, digits and underscores. Longer ones than LONGEST, as in scripts without spaces,
+    are cut into pieces that overlap by all but one letter of the longest n-gram."""
+    words = WORD.findall(text.lower()) if text else []
+    if not any(len(w) > LONGEST for w in words):
+        return words
+    step = LONGEST - GRAMS[1] + 1
+    return [
+        w[i : i + LONGEST]
+        for w in words
+        for i in range(0, max(1, len(w) - GRAMS[1] + 1), step)
+    ]
 
 
 def window_starts(words: int) -> np.ndarray:
