@@ -103,3 +103,18 @@ def test_a_head_ends_without_a_tag(page, text):
 )
 def test_quotes_open_strings_only_where_a_value_begins(page, text):
     assert render(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b  c\nd     e\nf     g"),
+        ("<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+        ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>", "a    b\n     c"),
+        ("<table><tr><td colspan=200>a<td>b</table>", "a" + "  " * 200 + "b"),
+        ("x <math><mi>a</mi><mo>+</mo><mi>b</mi><annotation>tex</annotation></math> y", "x a+b y"),
+    ],
+)
+def test_spans_and_formulas(page, text):
+    assert render(page) == text

@@ -15,7 +15,7 @@ from tiermill.llm.common import short_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style template noscript iframe object svg math canvas audio video datalist select"
+    "head script style template noscript iframe object svg annotation annotation-xml canvas audio video datalist select"
     " noembed noframes title map".split()
 )
 BLOCKS = frozenset(
@@ -59,6 +59,8 @@ ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>
 UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 # Lists and tables within each other that are indented and aligned.
 NESTED = 60
+# What browsers take for larger spans.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -239,18 +241,19 @@ def _inside(node: Node, layout: Layout, depth: int) -> None:
             work.extend(("in", c, item, inner) for c in reversed(item.children))
 
 
-def _parts(table: Node) -> tuple[list[Node], list]:
-    """The rows and captions of a table, and what stands in it outside of cells."""
-    rows, loose, work = [], [], list(reversed(table.children))
+def _parts(table: Node) -> tuple[list[tuple[Node, Node]], list]:
+    """The rows and captions of a table with the row group they are in, and what stands in it outside
+    of cells."""
+    rows, loose, work = [], [], [(c, table) for c in reversed(table.children)]
     while work:
-        item = work.pop()
+        item, group = work.pop()
         if isinstance(item, str):
             loose += [item] if item.strip() else []
         elif item.tag in ("tbody", "thead", "tfoot"):
-            work.extend(reversed(item.children) if visible(item) else ())
+            work.extend([(c, item) for c in reversed(item.children)] if visible(item) else ())
         elif item.tag in ("tr", "caption"):
             if visible(item):
-                rows.append(item)
+                rows.append((item, group))
                 if item.tag == "tr":
                     loose += [c for c in item.children if not _is_cell(c) and str(c).strip()]
         elif item.tag not in ("colgroup", "col"):
@@ -262,6 +265,15 @@ def _is_cell(item: Node | str) -> bool:
     return isinstance(item, Node) and item.tag in ("td", "th")
 
 
+def _span(cell: Node, name: str) -> int | None:
+    """The columns or rows of a cell; none for those up to the end of the row group."""
+    span = cell.attributes.get(name, "").strip()
+    if not re.fullmatch("[0-9]+", span):
+        return 1
+    span = min(int(span.lstrip("0")[:9] or 0), SPANS[name])
+    return span or (1 if name == "colspan" else None)
+
+
 def _table(table: Node, depth: int) -> list[str]:
     """Rows with cells that start in the same column; cells of several lines stay beside each other.
     What stands outside of cells comes before the table."""
@@ -269,17 +281,26 @@ def _table(table: Node, depth: int) -> list[str]:
     before = Node("div", {})
     before.children = loose
     out, grid = lines_of(before, depth), []
-    for row in rows:
+    # Columns with a cell of a row above, and for how many rows more.
+    last, held = None, {}
+    for row, group in rows:
         if row.tag == "caption":
             out += lines_of(row, depth)
             continue
-        cells = []
+        if group is not last:
+            last, held = group, {}
+        cells, below = [], {c: n and n - 1 for c, n in held.items() if n != 1}
         for cell in filter(_is_cell, row.children):
             if visible(cell):
+                while len(cells) in held:
+                    cells.append([""])
+                columns, span = _span(cell, "colspan"), _span(cell, "rowspan")
+                if span != 1:
+                    places = range(len(cells), len(cells) + columns)
+                    below.update(dict.fromkeys(places, span and span - 1))
                 cells.append(lines_of(cell, depth) or [""])
-                span = cell.attributes.get("colspan", "1").strip()
-                if re.fullmatch("[0-9]{1,4}", span):
-                    cells += [[""]] * (min(int(span), 100) - 1)
+                cells += [[""]] * (columns - 1)
+        held = below
         if any(cells):
             grid.append(cells)
     columns = max(map(len, grid), default=0)
