@@ -13,6 +13,7 @@ from tiermill.llm.decontaminate import contaminated
 from tiermill.llm.html_text import visible_text
 from tiermill.llm.packing import pack
 from tiermill.llm.quality import quality_scores
+from tiermill.llm.secrets import secrets
 from tiermill.llm.sharding import shard_by_bytes
 from tiermill.llm.simhash import simhash_components
 from tiermill.llm.substring import repeated_passages
@@ -97,6 +98,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents")).drop("base")
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_decontamination": op2_decontamination,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLES: dict[str, str] = {}
