@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.llm import negatives
 from tiermill.llm.common import table
 from tiermill.llm.decontaminate import contaminated
 from tiermill.llm.html_text import visible_text
@@ -98,6 +99,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row gets the next label first; every hundredth is an anchor."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(negatives.scaled(rows), F.col("vec_id") % 100 == 0)
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents")).drop("base")
 
@@ -113,7 +121,38 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op12_negatives": op12_negatives,
     "op13_secrets": op13_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_negatives": """
+WITH numbered AS (
+  SELECT row_number() OVER () AS row, vec_id, embedding,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), vectors AS (
+  SELECT row, vec_id, label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM numbered
+), scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS alike,
+         CAST(list_dot_product(a.vector, b.vector) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.row <> b.row AND len(a.vector) = len(b.vector)
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+         p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.row
+                                 ORDER BY n.score DESC, n.vec_id, n.row) AS INT) AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.alike
+   AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5""",
+}
