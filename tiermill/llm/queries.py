@@ -20,8 +20,9 @@ from tiermill.llm.simhash import simhash_components
 from tiermill.llm.substring import repeated_passages
 from tiermill.llm.topk import scaled, top_inner_products
 from tiermill.llm.toxicity import toxicity
+from tiermill.llm.trie import placed_turns, prefix_trie, with_heads
 from tiermill.llm.warc import convert_arc, read_warc, with_referred_page, write_arc, write_warc
-from tiermill.session import new_path
+from tiermill.session import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +100,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of five begin with the first turns of the first of them, 8 at most."""
+    conversations = table(spark, sf_dir, "conversations")
+    turns = written(placed_turns(conversations), "placed-turns")
+    base = F.expr("conv_id - conv_id % 5")
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie(with_heads(turns, base, heads, most=8), turns.select("conv_id"))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh row gets the next label first; every hundredth is an anchor."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -121,11 +131,57 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op11_trie": op11_trie,
     "op12_negatives": op12_negatives,
     "op13_secrets": op13_secrets,
 }
 
 ORACLES: dict[str, str] = {
+    # DuckDB has no CRC-32; it is reckoned bit by bit, eight bits for each digit of the id.
+    "op11_trie": """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), listed AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS own FROM turns GROUP BY conv_id
+), headed AS (
+  SELECT conv_id, own, xor(4294967295, list_reduce(
+           list_prepend(4294967295, range(0, 8 * len(CAST(conv_id AS VARCHAR)))),
+           lambda crc, i: CASE WHEN i % 8 > 0
+             THEN CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END
+             ELSE CASE WHEN xor(crc, ascii(substr(CAST(conv_id AS VARCHAR), 1 + CAST(i // 8 AS INT), 1))) & 1 = 1
+               THEN xor(xor(crc, ascii(substr(CAST(conv_id AS VARCHAR), 1 + CAST(i // 8 AS INT), 1))) >> 1,
+                        3988292384)
+               ELSE xor(crc, ascii(substr(CAST(conv_id AS VARCHAR), 1 + CAST(i // 8 AS INT), 1))) >> 1 END
+             END)) % 9 AS h
+  FROM listed
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) AS seq
+  FROM headed a LEFT JOIN listed b ON b.conv_id = a.conv_id - a.conv_id % 5
+), prefixes AS (
+  SELECT conv_id, seq[1:d] AS prefix, d, d = len(seq) AS ends
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT prefix, d, CASE WHEN d > 0 THEN prefix[1:d - 1] END AS parent, min(conv_id) AS conv_id,
+         count(*) AS n, CASE WHEN d > 0 THEN strlen(prefix[d].text) ELSE 0 END AS size,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ended
+  FROM prefixes GROUP BY prefix, d
+), children AS (
+  SELECT parent AS prefix, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent
+), counted AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix)
+), above AS (
+  SELECT prefix[1:k] AS prefix, n_children = 0 AS is_leaf, (n - 1) * size AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM counted)
+), sums AS (
+  SELECT prefix, count(*) FILTER (is_leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM above GROUP BY prefix
+)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.n_children, n_leaves,
+       saved_tokens, sha256(c.ended) AS ends_sha256
+FROM counted c JOIN sums ON sums.prefix = c.prefix LEFT JOIN nodes p ON p.prefix = c.parent""",
     "op12_negatives": """
 WITH numbered AS (
   SELECT row_number() OVER () AS row, vec_id, embedding,
