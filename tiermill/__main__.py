@@ -26,6 +26,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="default: the current time")
     parser.add_argument("--inventory", default="", help="inventory CSV")
     parser.add_argument("--instagram", default="", help="social posts CSV")
+    parser.add_argument("--late-instagram", default="", help="social posts CSV that arrived late")
     parser.add_argument("--ratings", default="", help="folder of the ratings stream")
     parser.add_argument("--dimension", action="append", default=[], metavar="TABLE=CSV")
     parser.add_argument("--servers", default="", help="stream: Kafka servers")
@@ -51,7 +52,13 @@ def main() -> None:
         start_bronze(source, args.ratings, args.checkpoint, args.rejected).awaitTermination()
         return
     store = TableStore(spark, args.root, args.database, args.provider)
-    sources = Sources(args.inventory, args.instagram, dimensions, args.ratings)
+    sources = Sources(
+        inventory_csv=args.inventory,
+        instagram_csv=args.instagram,
+        late_instagram_csv=args.late_instagram,
+        dimension_files=dimensions,
+        ratings_path=args.ratings,
+    )
     as_of = args.as_of or datetime.now(timezone.utc)
     if args.job == "refresh":
         refresh(store, sources, as_of).show(truncate=False)

@@ -16,7 +16,7 @@ from tiermill.plans.dimensions import load_dimension
 from tiermill.schemas import SILVER_REQUIRED
 from tiermill.session import intermediates, written
 from tiermill.sources.tables import TableStore
-from tiermill.streaming.ratings import BATCH, RUN, read_batches
+from tiermill.streaming.ledger import merge_batches
 
 
 @dataclass(frozen=True)
@@ -78,12 +78,12 @@ def _late_instagram(store, sources, as_of):
 
 
 def _bronze_ratings(store, sources, as_of):
-    """The days that the stream has stored, each written as a whole: run again after more batches, it
-    replaces these days, and gathers the small files of many batches in a few."""
+    """The days that batches stored since the last run reach, each written as a whole, which also
+    gathers the small files of many batches in a few."""
     store.create("bronze_ratings")
     if sources.ratings_path:
-        rows = read_batches(store.spark, sources.ratings_path).drop(RUN, BATCH)
-        store.write(rows, "bronze_ratings", "overwrite_partitions")
+        return merge_batches(store, sources.ratings_path)
+    return None
 
 
 def _silver_inventory(store, sources, as_of):
@@ -145,8 +145,8 @@ JOBS: dict[str, Job] = {
 
 
 def run_job(name: str, store: TableStore, sources: Sources, as_of: datetime | Column) -> Metrics:
-    """Run one job; any failure is raised. Returns row, null and drop counts for a silver table, and
-    how many late posts came, and too late.
+    """Run one job; any failure is raised. Returns row, null and drop counts for a silver table, how
+    many late posts came, and too late, and how many batches and days of the stream were merged.
 
     What the job wrote for its own use is deleted once its table is written.
     """

@@ -120,9 +120,11 @@ def clean_ratings(
 ) -> DataFrame:
     """Valid ratings with a normalised comment, the newest of those that say the same."""
     if "event_date" in bronze.columns:
-        # The day folders of bronze: lets the scan skip what the time rules would drop anyway.
+        # The day folders of bronze: lets the scan skip what the time rules would drop anyway. A day
+        # more on each side, as the writer may have had another time zone.
         now = p.instant(as_of)
-        oldest, newest = F.to_date(now - F.lit(lookback)), F.to_date(now)
+        oldest = F.date_sub(F.to_date(now - F.lit(lookback)), 1)
+        newest = F.date_add(F.to_date(now), 1)
         bronze = bronze.filter(F.col("event_date").between(oldest, newest))
     for _, keep in rating_rules(as_of, lookback):
         bronze = bronze.filter(keep)

@@ -1,4 +1,4 @@
-"""Column types of the fifteen tables, and the cast-on-write step.
+"""Column types of the tables, and the cast-on-write step.
 
 Identifiers of unbounded entities (customers, posts, inventory records, ratings) and all counts are
 BIGINT, because a 32-bit id runs out long before 100 TB; identifiers of small dimensions stay INT.
@@ -82,6 +82,9 @@ TABLES: dict[str, T.StructType] = {
             ).fields,
         ]
     ),
+    "bronze_ratings_batches": _schema(
+        "run_id string; batch_id bigint; event_date date; stamp bigint; merge_id bigint"
+    ),
     "silver_instagram": _schema(
         "post_id bigint; color_id int; date_id int; likes int; comments int; post_date date;"
         "ingestion_date date; season string"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ PARTITIONED_BY = {
     "bronze_instagram": ["post_date"],
     "silver_inventory": ["report_date"],
 }
+# What a day partition is derived from, where it is not the column that readers ask for.
+TIME_OF_DAY = {"bronze_ratings": "timestamp"}
 # A table that is registered beside the one it will replace.
 NEXT = "__next"
 MODES = ("create", "append", "replace", "overwrite_partitions")
@@ -64,9 +67,49 @@ class TableStore:
         names = {row["tableName"] for row in listed.collect() if not row["isTemporary"]}
         return sorted({name.removesuffix(NEXT) for name in names})
 
-    def read(self, table: str) -> DataFrame:
+    def read(
+        self, table: str, since: date | datetime | None = None, until: date | datetime | None = None
+    ) -> DataFrame:
+        """The rows of a table; with ``since`` or ``until`` (both included) those of that time in a table
+        partitioned by days, of which only the folders that can hold them are read.
+
+        A day that was derived from a time is a day of the writer's time zone, so the folders a day
+        before and after are read as well.
+        """
+        self.exists(table)
+        rows = self.spark.table(self.name(table))
+        if since is None and until is None:
+            return rows
+        if table not in PARTITIONED_BY:
+            raise ValueError(f"{table} is not partitioned by days")
+        day = PARTITIONED_BY[table][0]
+        time = TIME_OF_DAY.get(table, day)
+        slack = timedelta(days=0 if time == day else 1)
+        for bound, keep in ((since, "__ge__"), (until, "__le__")):
+            if bound is not None:
+                of = bound.date() if isinstance(bound, datetime) else bound
+                nearest = of - slack if keep == "__ge__" else of + slack
+                exact = of if time == day else bound
+                rows = rows.filter(getattr(F.col(day), keep)(F.lit(nearest)))
+                rows = rows.filter(getattr(F.col(time), keep)(F.lit(exact)))
+        return rows
+
+    def footer_counts(self, table: str, columns: list[str] | None = None) -> DataFrame:
+        """One row: ``row_count`` and ``nulls_<column>`` of a Parquet table, from the footers of its files;
+        no column is read.
+
+        Spark takes counts from footers only with settings of their own, so this runs in a session
+        beside the store's; the settings of that one stay as they are.
+        """
         self.exists(table)
-        return self.spark.table(self.name(table))
+        beside = self.spark.newSession()
+        beside.conf.set("spark.sql.sources.useV1SourceList", "")
+        beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        stored = self.spark.table(self.name(table)).schema
+        files = beside.read.schema(stored).parquet(self._location(table))
+        total = F.count(F.lit(1))
+        nulls = [(total - F.count(c)).alias(f"nulls_{c}") for c in columns or []]
+        return files.agg(total.alias("row_count"), *nulls)
 
     def count(self, table: str) -> DataFrame:
         return self.spark.sql(f"SELECT count(*) AS total_rows FROM {self.name(table)}")
@@ -74,7 +117,8 @@ class TableStore:
     def create(self, table: str, schema: T.StructType | None = None) -> None:
         """Create an empty table with declared columns unless it exists."""
         if not self.exists(table):
-            self._create(self.spark.createDataFrame([], schema or TABLES[table]), table)
+            empty = self.spark.createDataFrame([], schema or TABLES[table])
+            self._create(empty, table, PARTITIONED_BY.get(table, []))
 
     def drop(self, table: str) -> None:
         """Drop the table with all its files."""
@@ -93,16 +137,41 @@ class TableStore:
         for version in old[keep:]:
             files.delete(version.getPath(), True)
 
-    def write(self, df: DataFrame, table: str, mode: str) -> None:
+    def drop_partitions(self, table: str, values: list) -> None:
+        """Drop the given partitions of a Parquet table that is partitioned by one column, with their
+        files; those that are not there do no harm."""
+        column = self._partitions(table)[0]
+        root, files = hadoop_path(self.spark, self._location(table))
+        for value in values:
+            written_as = "NULL" if value is None else f"'{value}'"
+            self.spark.sql(
+                f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({column} = {written_as})"
+            )
+            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            files.delete(hadoop_path(self.spark, f"{root}/{column}={folder}")[0], True)
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def set_property(self, table: str, name: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('{name}' = '{value}')")
+
+    def property(self, table: str, name: str) -> str | None:
+        """What ``set_property`` stored with the table, or None; a replacement may lose it."""
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").filter(F.col("key") == name)
+        row = found.first()
+        return row["value"] if row else None
+
+    def write(self, df: DataFrame, table: str, mode: str, partition_by: list[str] | None = None) -> None:
         """``create`` (fails if the table exists), ``append``, ``replace`` or
         ``overwrite_partitions`` (an error for a table without partitions).
 
+        ``partition_by`` counts when the table is created, unless PARTITIONED_BY names it.
+
         Columns are matched by name and cast to the declared types first. Rows for a partitioned
         table are gathered by partition, so that each gets few files and a large one several tasks.
         """
         if table in TABLES:
             df = conform(df, TABLES[table])
-        partitions = self._partitions(table)
+        partitions = self._partitions(table) or partition_by or []
         if partitions:
             df = df.hint("rebalance", *partitions)
         if mode not in MODES:
@@ -112,7 +181,7 @@ class TableStore:
         if mode == "create" and self.exists(table):
             raise AnalysisException(f"table {self.name(table)} already exists")
         if not self.exists(table):
-            self._create(df, table)
+            self._create(df, table, partitions)
         elif mode == "append":
             self._append(df, table)
         elif mode == "replace":
@@ -121,19 +190,22 @@ class TableStore:
             self._overwrite_partitions(df, table)
 
     def _partitions(self, table: str) -> list[str]:
-        return PARTITIONED_BY.get(table, [])
+        """The partition columns, by PARTITIONED_BY or else by the catalog."""
+        if table in PARTITIONED_BY or self.provider != "parquet" or not self.exists(table):
+            return PARTITIONED_BY.get(table, [])
+        listed = self.spark.catalog.listColumns(self.name(table))
+        return [column.name for column in listed if column.isPartition]
 
-    def _format_writer(self, df: DataFrame, table: str):
+    def _format_writer(self, df: DataFrame, table: str, partitions: list[str]):
         writer = df.writeTo(self.name(table)).using(self.provider)
         writer = writer.tableProperty("write.format.default", "parquet")
-        partitions = self._partitions(table)
         return writer.partitionedBy(*map(F.col, partitions)) if partitions else writer
 
-    def _create(self, df: DataFrame, table: str) -> None:
+    def _create(self, df: DataFrame, table: str, partitions: list[str]) -> None:
         if self.provider != "parquet":
-            self._format_writer(df, table).create()
+            self._format_writer(df, table, partitions).create()
             return
-        writer = df.write.format("parquet").partitionBy(*self._partitions(table))
+        writer = df.write.format("parquet").partitionBy(*partitions)
         writer.option("path", self._new_location(table)).saveAsTable(self.name(table))
 
     def _new_location(self, table: str) -> str:
@@ -147,7 +219,7 @@ class TableStore:
 
     def _replace(self, df: DataFrame, table: str) -> None:
         if self.provider != "parquet":
-            self._format_writer(df, table).createOrReplace()
+            self._format_writer(df, table, self._partitions(table)).createOrReplace()
             return
         partitions, location = self._partitions(table), self._new_location(table)
         df.write.partitionBy(*partitions).parquet(location)
@@ -176,13 +248,12 @@ class TableStore:
         if self.provider != "parquet":
             df.writeTo(self.name(table)).overwritePartitions()
             return
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:  # through the catalog, which registers the touched partitions only
-            df.select(self.read(table).columns).write.insertInto(self.name(table), overwrite=True)
-        finally:
-            self.spark.conf.set(mode, before)
+        # The writer's own option: a setting of the session would hold for the jobs beside this one.
+        writer = df.select(self.read(table).columns).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*self._partitions(table)).parquet(self._location(table))
+        self.spark.catalog.recoverPartitions(self.name(table))
+        self.spark.catalog.refreshTable(self.name(table))
 
     def _location(self, table: str) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")

@@ -15,7 +15,7 @@ from tiermill.session import hadoop_path
 
 PAYLOAD = [f.name for f in RATING_MESSAGE.fields]
 TRIGGER = "10 seconds"
-RUN, BATCH = "run_id", "batch_id"
+RUN, BATCH, DAY = "run_id", "batch_id", "event_date"
 
 _POSITION = [
     T.StructField("processed_timestamp", T.TimestampType()),
