@@ -1,4 +1,5 @@
-"""Type-2 histories: from dated events, and from attribute changes."""
+"""Type-2 histories: from dated events, and from attribute changes; as a whole, or kept up bucket by
+bucket."""
 
 from __future__ import annotations
 
@@ -8,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.functions.predicates import instant
+from tiermill.operators.buckets import BUCKETS, create_bucketed, rewrite_touched
 from tiermill.operators.cleaning import keep_newest
 from tiermill.operators.numbering import HOT_GROUP_ROWS, group_sizes, number_within
+from tiermill.sources.tables import TableStore
 
 ATTRIBUTES = ["first_name", "last_name", "email", "phone", "address", "city"]
 
@@ -22,8 +25,12 @@ def scd2_from_events(
     Ratings of one day are ordered by ``rating_id``; all but the last of them start and end that day.
     The name and contact columns are null.
     """
+    return _event_versions(ratings, instant(as_of), [], hot_group_rows)
+
+
+def _event_versions(ratings, stamp: Column, more: list[str], hot_group_rows: int) -> DataFrame:
     versions = number_within(
-        ratings.select("customer_id", "rating_date", "rating_id"),
+        ratings.select("customer_id", "rating_date", "rating_id", stamp.alias("created_timestamp")),
         keys=["customer_id"],
         order=["rating_date", "rating_id"],
         number="version_id",
@@ -37,10 +44,77 @@ def scd2_from_events(
         F.col("rating_date").alias("start_date"),
         "end_date",
         F.col("end_date").isNull().alias("is_current"),
-        instant(as_of).alias("created_timestamp"),
+        "created_timestamp",
+        *more,
     )
 
 
+def create_event_history(
+    store: TableStore, table: str, ratings: DataFrame, as_of: datetime | Column, buckets: int = BUCKETS
+) -> None:
+    """Store the versions of ``scd2_from_events`` by the bucket of the customer, with their
+    ``rating_id``, so that ``update_event_history`` can go on."""
+    rows = _event_versions(ratings, instant(as_of), ["rating_id"], HOT_GROUP_ROWS)
+    create_bucketed(store, rows, table, "customer_id", buckets)
+
+
+def update_event_history(
+    store: TableStore,
+    table: str,
+    ratings: DataFrame,
+    as_of: datetime | Column,
+    hot_group_rows: int = HOT_GROUP_ROWS,
+) -> list[int]:
+    """Add ratings to a stored history, also late ones, and return the buckets that were rewritten.
+
+    The versions of the customers concerned are numbered anew, as ``scd2_from_events`` over all ratings
+    would; versions that were there keep their stamp. A rating that is there already (same customer, day
+    and ``rating_id``) changes nothing.
+    """
+
+    def rebuild(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+        event = ["customer_id", "start_date", "rating_id"]
+        known = stored.select(*event, "created_timestamp")
+        new = arrived.select("customer_id", F.col("rating_date").alias("start_date"), "rating_id")
+        every = known.unionByName(new.withColumn("created_timestamp", instant(as_of)))
+        once = every.groupBy(*event).agg(F.min("created_timestamp").alias("created_timestamp"))
+        once = once.withColumnRenamed("start_date", "rating_date")
+        return _event_versions(once, F.col("created_timestamp"), ["rating_id"], hot_group_rows)
+
+    return rewrite_touched(store, table, "customer_id", ratings, rebuild, hot_group_rows)
+
+
+def create_history(
+    store: TableStore, table: str, current: DataFrame, key: str, tracked: list[str], as_of, buckets=BUCKETS
+) -> None:
+    """Store a type-2 table by the bucket of its key, with all columns that updates maintain."""
+    nothing = current.select(key, *tracked, F.col("start_date").alias("effective_date")).limit(0)
+    whole = scd2_from_changes(current, nothing, key, tracked, as_of)
+    create_bucketed(store, whole, table, key, buckets)
+
+
+def update_history(
+    store: TableStore,
+    table: str,
+    updates: DataFrame,
+    key: str,
+    tracked: list[str],
+    as_of: datetime | Column,
+    newest_by: list[str] | None = None,
+    hot_group_rows: int = HOT_GROUP_ROWS,
+) -> list[int]:
+    """Apply attribute updates to a stored history as ``scd2_from_changes`` does, and return the buckets
+    that were rewritten. Only versions of the keys that have updates are worked on, and applying the same
+    updates again changes nothing."""
+
+    def rebuild(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+        return scd2_from_changes(
+            stored, arrived, key, tracked, as_of, newest_by, hot_group_rows
+        ).select(stored.columns)
+
+    return rewrite_touched(store, table, key, updates, rebuild, hot_group_rows)
+
+
 VERSIONING = ["version_id", "start_date", "end_date", "is_current", "created_timestamp"]
 
 

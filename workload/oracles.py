@@ -605,6 +605,9 @@ UNION ALL SELECT 'silver_ratings', CAST(0 AS BIGINT)""",
     "late_posts_stored": LATE + "FROM stored",
     "late_posts_rejected": LATE + "FROM later WHERE post_date < DATE '1998-01-01'",
     "scd2_closed": SCD2_CLOSED,
+    "scd2_updated": SCD2_CLOSED,
+    "scd2_updated_hot": SCD2_CLOSED,
+    "scd2_events_updated": SCD2_EVENTS,
     "ratings_star_all_hot": ORACLES["ratings_star"],
     "refresh_silver_inventory": f"""
 SELECT event_id AS record_id, CAST(event_id % 5 AS INT) AS branch_id,

@@ -11,7 +11,15 @@ from pyspark.sql import types as T
 
 from tiermill.operators import quality
 from tiermill.operators.cleaning import null_violations
-from tiermill.operators.history import scd2_from_changes, scd2_from_events
+from tiermill.operators.buckets import BUCKET
+from tiermill.operators.history import (
+    create_event_history,
+    create_history,
+    scd2_from_changes,
+    scd2_from_events,
+    update_event_history,
+    update_history,
+)
 from tiermill.plans import gold, silver, stars
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
@@ -188,6 +196,39 @@ def scd2_closed(spark, sf_dir):
     return presented(result)
 
 
+def _applied(spark, sf_dir, buckets=16, **options):
+    """The updates in five parts by time, each applied to the buckets it touches; the last part twice."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("history"))
+    key, tracked = "customer_id", ["city"]
+    create_history(store, "versions", v.closed_versions(spark, sf_dir), key, tracked, v.as_of(), buckets)
+    updates = v.priority_updates(spark, sf_dir)
+    for first, last in (("1900", "1994"), ("1995", "1995"), ("1996", "1997"), ("1998", "2100"), ("1998", "2100")):
+        part = updates.filter(F.year("effective_date").between(int(first), int(last)))
+        update_history(
+            store, "versions", part, key, tracked, v.as_of(), newest_by=["sequence"], **options
+        )
+    return presented(store.read("versions").drop(BUCKET))
+
+
+def scd2_updated(spark, sf_dir):
+    return _applied(spark, sf_dir)
+
+
+def scd2_updated_hot(spark, sf_dir):
+    """The same with every customer treated as too large for one task."""
+    return _applied(spark, sf_dir, buckets=4, hot_group_rows=0)
+
+
+def scd2_events_updated(spark, sf_dir):
+    """Half of the ratings stored, then the others added, among them many before stored ones."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("history"))
+    ratings = v.order_ratings(spark, sf_dir)
+    create_event_history(store, "versions", ratings.filter("rating_id % 2 = 0"), v.as_of(), 16)
+    for part in ("rating_id % 4 = 1", "rating_id % 2 = 1"):
+        update_event_history(store, "versions", ratings.filter(part), v.as_of())
+    return presented(store.read("versions").drop(BUCKET, "rating_id"))
+
+
 # Stars
 
 
@@ -618,6 +659,9 @@ QUERIES: dict[str, Query] = {
     "late_posts_stored": late_posts_stored,
     "late_posts_rejected": late_posts_rejected,
     "scd2_closed": scd2_closed,
+    "scd2_updated": scd2_updated,
+    "scd2_updated_hot": scd2_updated_hot,
+    "scd2_events_updated": scd2_events_updated,
     "ratings_star_all_hot": ratings_star_all_hot,
     "refresh_silver_inventory": refresh_silver_inventory,
     "full_refresh": full_refresh,
