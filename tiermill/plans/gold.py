@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.operators.cleaning import fill_defaults
+from tiermill.operators.partials import Average, Count, DailyState, Newest, Total
+from tiermill.sources.tables import TableStore
 
 # Fixed values.
 VIP_RATINGS = 10
@@ -32,6 +34,11 @@ def gold_branch_kpis(
         F.avg("rating_value").alias("avg_rating"),
         F.count("rating_id").alias("total_ratings"),
     )
+    return branch_kpis(per_branch, employees, branches)
+
+
+def branch_kpis(per_branch: DataFrame, employees: DataFrame, branches: DataFrame) -> DataFrame:
+    """Figures per branch with its name and active staff."""
     names = branches.select("branch_id", F.col("name").alias("branch_name"))
     joined = per_branch.join(names, "branch_id", "left").join(
         active_employees(employees), "branch_id", "left"
@@ -48,6 +55,11 @@ def gold_color_engagement(inventory: DataFrame, instagram: DataFrame) -> DataFra
     social = instagram.groupBy("color_id").agg(
         F.sum("likes").alias("total_likes"), F.sum("comments").alias("total_comments")
     )
+    return color_engagement(usage, social)
+
+
+def color_engagement(usage: DataFrame, social: DataFrame) -> DataFrame:
+    """The score of each colour in use, from figures per colour."""
     reactions = F.col("total_likes") + F.col("total_comments")
     scored = usage.join(social, "color_id", "left").withColumn(
         "engagement_score", reactions / (F.col("times_used") + F.lit(SCORE_EPSILON))
@@ -64,4 +76,35 @@ def gold_customer_metrics(ratings: DataFrame, vip_ratings: int = VIP_RATINGS) ->
         F.count("rating_id").alias("total_ratings"),
         F.max_by("rating_value", F.struct("timestamp", "rating_id")).alias("last_rating"),
     )
+    return customer_metrics(per_customer, vip_ratings)
+
+
+def customer_metrics(per_customer: DataFrame, vip_ratings: int = VIP_RATINGS) -> DataFrame:
     return per_customer.withColumn("is_vip", F.col("total_ratings") >= F.lit(vip_ratings))
+
+
+# The same figures kept as states by day, for tables of which some days change.
+
+
+def branch_state(store: TableStore) -> DailyState:
+    measures = [Average("avg_rating", "rating_value"), Count("total_ratings", "rating_id")]
+    return DailyState(store, "state_branch_ratings", "rating_date", ["branch_id"], measures)
+
+
+def customer_state(store: TableStore) -> DailyState:
+    measures = [
+        Average("avg_rating", "rating_value"),
+        Count("total_ratings", "rating_id"),
+        Newest("last_rating", "rating_value", ["timestamp", "rating_id"]),
+    ]
+    return DailyState(store, "state_customer_ratings", "rating_date", ["customer_id"], measures)
+
+
+def usage_state(store: TableStore) -> DailyState:
+    measures = [Count("times_used", "record_id"), Total("total_quantity_used", "quantity_used")]
+    return DailyState(store, "state_color_usage", "report_date", ["color_id"], measures)
+
+
+def social_state(store: TableStore) -> DailyState:
+    measures = [Total("total_likes", "likes"), Total("total_comments", "comments")]
+    return DailyState(store, "state_color_posts", "post_date", ["color_id"], measures)

@@ -14,7 +14,7 @@ import uuid
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,14 @@ NEXT = "__next"
 MODES = ("create", "append", "replace", "overwrite_partitions")
 
 
+def in_days(day: str | Column, values: list) -> Column:
+    """True where ``day`` is one of the values, of which one may be null. Spark prunes folders by it."""
+    column = F.col(day) if isinstance(day, str) else day
+    known = [value for value in values if value is not None]
+    kept = column.isin(known) if known else F.lit(False)
+    return kept | column.isNull() if None in values else kept
+
+
 class TableStore:
     """The tables of one database, with their files below ``root``."""
 

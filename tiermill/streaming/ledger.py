@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tiermill.schemas import TABLES
 from tiermill.session import hadoop_path, written
-from tiermill.sources.tables import TableStore
+from tiermill.sources.tables import TableStore, in_days
 from tiermill.streaming.ratings import BATCH, DAY, RUN, STORED, read_batches
 
 LEDGER = "bronze_ratings_batches"
@@ -58,13 +58,6 @@ def _day(value: str) -> date | None:
     return None if value == NO_VALUE else date.fromisoformat(value)
 
 
-def _in_days(column: str, days: list[date | None]):
-    """True for rows of the days, of which one may be null."""
-    known = [day for day in days if day is not None]
-    kept = F.col(column).isin(known) if known else F.lit(False)
-    return kept | F.col(column).isNull() if None in days else kept
-
-
 def merge_batches(store: TableStore, path: str) -> dict[str, int]:
     """Bring ``bronze_ratings`` up to the complete batches of the stream below ``path``.
 
@@ -105,11 +98,11 @@ def merge_batches(store: TableStore, path: str) -> dict[str, int]:
     ledger = written(kept.unionByName(spark.createDataFrame(rows, schema)), "ledger")
 
     complete = ledger.filter("stamp IS NOT NULL").select(RUN, BATCH).distinct()
-    stored = read_batches(spark, path, STORED).filter(_in_days("event_date", days))
+    stored = read_batches(spark, path, STORED).filter(in_days("event_date", days))
     stored = stored.join(F.broadcast(complete), [RUN, BATCH], "left_semi").drop(RUN, BATCH)
     if days:
         store.write(stored, "bronze_ratings", "overwrite_partitions")
-    held = ledger.filter("stamp IS NOT NULL").filter(_in_days("event_date", days))
+    held = ledger.filter("stamp IS NOT NULL").filter(in_days("event_date", days))
     there = {r["event_date"] for r in held.select("event_date").distinct().collect()}
     empty = [day for day in days if day not in there]
     if empty:

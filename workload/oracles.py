@@ -587,7 +587,40 @@ SELECT * REPLACE (strftime(post_date, {DAY}) AS post_date,
                   strftime(ingestion_date, {DAY}) AS ingestion_date)
 """
 
+NOT_WRONG = """CAST("timestamp" AS DATE) <> DATE '2024-01-10'"""
+
 ORACLES |= {
+    "gold_customer_state": f"""
+WITH {RATINGS}
+SELECT customer_id, round(avg(rating_value), 6) AS avg_rating, count(*) AS total_ratings,
+       CAST(last(rating_value ORDER BY "timestamp", _kafka_offset) AS DOUBLE) AS last_rating,
+       count(*) >= 10 AS is_vip
+FROM ratings_clean WHERE {NOT_WRONG} GROUP BY 1""",
+    "gold_branch_state": ORACLES["gold_branch_kpis"].replace(
+        "GROUP BY branch_id", f"WHERE {NOT_WRONG} GROUP BY branch_id"
+    ),
+    "gold_color_state": """
+WITH usage AS (
+  SELECT CAST(user_id % 42 AS INT) AS color_id, count(*) AS times_used,
+         CAST(sum(floor(value) - 5) AS BIGINT) AS total_quantity_used
+  FROM events WHERE floor(value) - 5 > 0 AND CAST(ts AS DATE) <> DATE '2024-01-10' GROUP BY 1
+), social AS (
+  SELECT CAST(user_id % 40 AS INT) AS color_id, CAST(sum(floor(value)) AS BIGINT) AS total_likes,
+         CAST(sum(event_id % 60) AS BIGINT) AS total_comments
+  FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-10' GROUP BY 1
+)
+SELECT color_id, times_used, total_quantity_used, coalesce(total_likes, 0) AS total_likes,
+       coalesce(total_comments, 0) AS total_comments,
+       round(coalesce((total_likes + total_comments) / (times_used + CAST(1e-6 AS DOUBLE)), 0.0), 6)
+         AS engagement_score
+FROM usage LEFT JOIN social USING (color_id)""",
+    "numbers_updated": f"""
+WITH {RATINGS}
+SELECT row_number() OVER (ORDER BY "timestamp", customer_id, _kafka_topic, _kafka_partition,
+                          _kafka_offset) AS rating_id, customer_id,
+       strftime("timestamp", {TIME}) AS "timestamp", _kafka_offset,
+       strftime(CAST("timestamp" AS DATE), {DAY}) AS rating_date
+FROM ratings_clean WHERE {NOT_WRONG}""",
     "stream_new_checkpoint": ORACLES["stream_bronze"],
     "stream_table": ORACLES["stream_bronze"],
     "stream_rejected_all": f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from tiermill.operators import quality
 from tiermill.operators.cleaning import null_violations
 from tiermill.operators.buckets import BUCKET
+from tiermill.operators.daily_numbers import renumber
 from tiermill.operators.history import (
     create_event_history,
     create_history,
@@ -145,6 +147,75 @@ def gold_customer_metrics(spark, sf_dir):
     return presented(gold.gold_customer_metrics(v.order_ratings(spark, sf_dir)), avg_rating=6)
 
 
+def _daily_ratings(spark, sf_dir):
+    """Cleaned ratings with a day and an id."""
+    cleaned = silver.clean_ratings(v.ratings_raw(spark, sf_dir), v.as_of(), v.LOOKBACK)
+    return cleaned.withColumns(
+        {"rating_date": F.to_date("timestamp"), "rating_id": F.col("_kafka_offset")}
+    )
+
+
+WRONG_DAY = date(2024, 1, 10)
+
+
+def _kept_up(state, rows, late):
+    """States over all rows but the late ones; then the late rows arrive, and a day is deleted."""
+    state.refresh(rows.filter(~late))
+    kept = rows.filter(F.col(state.day) != F.lit(WRONG_DAY))
+    days = [r[0] for r in kept.filter(late).select(state.day).distinct().collect()]
+    state.refresh(kept, [*days, WRONG_DAY])
+    return state.result()
+
+
+def _late(day: str, id_column: str):
+    return (F.col(day) >= F.lit(date(2024, 1, 20))) & (F.col(id_column) % 5 == 0)
+
+
+def _state_store(spark):
+    return TableStore(spark, new_path(spark, "store"), database=_new_database("state"))
+
+
+def gold_customer_state(spark, sf_dir):
+    state = gold.customer_state(_state_store(spark))
+    per_customer = _kept_up(state, _daily_ratings(spark, sf_dir), _late("rating_date", "rating_id"))
+    return presented(gold.customer_metrics(per_customer), avg_rating=6)
+
+
+def gold_branch_state(spark, sf_dir):
+    state = gold.branch_state(_state_store(spark))
+    per_branch = _kept_up(state, _daily_ratings(spark, sf_dir), _late("rating_date", "rating_id"))
+    result = gold.branch_kpis(per_branch, v.employees(spark, sf_dir), v.branches(spark, sf_dir))
+    return presented(result, avg_rating=6)
+
+
+def gold_color_state(spark, sf_dir):
+    store = _state_store(spark)
+    used = silver.silver_inventory(v.event_inventory(spark, sf_dir), v.as_of())
+    usage = _kept_up(gold.usage_state(store), used, _late("report_date", "record_id"))
+    posts = v.event_posts(spark, sf_dir)
+    social = _kept_up(gold.social_state(store), posts, _late("post_date", "post_id"))
+    return presented(gold.color_engagement(usage, social), engagement_score=6)
+
+
+def numbers_updated(spark, sf_dir):
+    """Ratings numbered without the late ones and with a day that is deleted later; then the days that
+    changed are numbered anew."""
+    store, ratings = _state_store(spark), _daily_ratings(spark, sf_dir).drop("rating_id")
+    late = _late("rating_date", "_kafka_offset")
+    order = ["timestamp", "customer_id", *silver.TOPIC_POSITION]
+
+    def number(rows, days):
+        renumber(store, "ratings", rows, days, "rating_date", order, "rating_id")
+
+    days = [r[0] for r in ratings.select("rating_date").distinct().collect()]
+    number(ratings.filter(~late), days)
+    kept = ratings.filter(F.col("rating_date") != F.lit(WRONG_DAY))
+    changed = [r[0] for r in kept.filter(late).select("rating_date").distinct().collect()]
+    number(kept, [*changed, WRONG_DAY])
+    stored = store.read("ratings")
+    return presented(stored.select("rating_id", "customer_id", "timestamp", "_kafka_offset", "rating_date"))
+
+
 # Dimensions and histories
 
 
@@ -659,6 +730,10 @@ QUERIES: dict[str, Query] = {
     "late_posts_stored": late_posts_stored,
     "late_posts_rejected": late_posts_rejected,
     "scd2_closed": scd2_closed,
+    "gold_customer_state": gold_customer_state,
+    "gold_branch_state": gold_branch_state,
+    "gold_color_state": gold_color_state,
+    "numbers_updated": numbers_updated,
     "scd2_updated": scd2_updated,
     "scd2_updated_hot": scd2_updated_hot,
     "scd2_events_updated": scd2_events_updated,

@@ -84,6 +84,17 @@ def instagram(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as cleaned posts: a month of days."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("post_id"),
+        F.expr("cast(user_id % 40 AS int)").alias("color_id"),
+        F.expr("cast(floor(value) AS int)").alias("likes"),
+        F.expr("cast(event_id % 60 AS int)").alias("comments"),
+        F.to_date("ts").alias("post_date"),
+    )
+
+
 def post_calendar(spark: SparkSession) -> DataFrame:
     """Narrower than the posts, so that some of them fall outside."""
     return build_dim_date(spark, *CALENDAR)
