@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tiermill.operators.history import scd2_from_events
 from tiermill.operators.quality import layer_counts, observed
@@ -42,7 +43,7 @@ def bronze_ratings(store: TableStore) -> DataFrame:
 
 def _write_silver(store: TableStore, rows: DataFrame, table: str, dropped: DataFrame) -> Metrics:
     """Replace a silver table and return its row and null counts, taken during the write, and what
-    each rule of the cleaner dropped."""
+    each rule of the cleaner dropped, counted with the rows."""
     watched, watch = observed(rows, table, SILVER_REQUIRED[table])
     store.write(watched, table, "replace")
     return watch.get | {f"dropped_{r['rule']}": r["dropped"] for r in dropped.collect()}
@@ -68,12 +69,17 @@ def _late_instagram(store, sources, as_of):
     """Merge late posts into the days they belong to; those too late are kept in a table."""
     if not sources.late_instagram_csv:
         return None
-    arrived = bronze_instagram(store.spark, sources.late_instagram_csv)
+    arrived = written(bronze_instagram(store.spark, sources.late_instagram_csv), "arrived-posts")
     rows, too_late = silver.merge_late_posts(store.read("bronze_instagram"), arrived, as_of)
     store.write(written(rows, "late-posts"), "bronze_instagram", "overwrite_partitions")
     store.create("rejected_late_posts")
-    known = store.read("rejected_late_posts")
-    store.write(written(too_late.subtract(known), "too-late"), "rejected_late_posts", "append")
+    too_late = written(too_late, "too-late")
+    # Of equal rows, those beyond what is kept already: a file that comes again adds nothing, and
+    # repeated rows within it stay.
+    known = store.read("rejected_late_posts").select(too_late.columns)
+    days = too_late.select(F.col("post_date").alias("_day")).distinct()
+    known = known.join(days, F.col("post_date").eqNullSafe(F.col("_day")), "left_semi")
+    store.write(too_late.exceptAll(known), "rejected_late_posts", "append")
     return {"arrived": arrived.count(), "too_late": too_late.count()}
 
 
@@ -87,21 +93,19 @@ def _bronze_ratings(store, sources, as_of):
 
 
 def _silver_inventory(store, sources, as_of):
-    bronze = store.read("bronze_inventory")
-    rows = silver.silver_inventory(bronze, as_of)
-    return _write_silver(store, rows, "silver_inventory", silver.inventory_funnel(bronze))
+    rows, dropped = silver.counted_inventory(store.read("bronze_inventory"), as_of)
+    return _write_silver(store, rows, "silver_inventory", dropped)
 
 
 def _silver_instagram(store, sources, as_of):
     bronze, days = store.read("bronze_instagram"), store.read("dim_date")
-    rows = silver.silver_instagram(bronze, days)
-    return _write_silver(store, rows, "silver_instagram", silver.instagram_funnel(bronze, days))
+    rows, dropped = silver.counted_instagram(bronze, days)
+    return _write_silver(store, rows, "silver_instagram", dropped)
 
 
 def _silver_ratings(store, sources, as_of):
-    bronze = bronze_ratings(store)
-    rows = silver.silver_ratings(bronze, as_of)
-    return _write_silver(store, rows, "silver_ratings", silver.ratings_funnel(bronze, as_of))
+    rows, dropped = silver.counted_ratings(bronze_ratings(store), as_of)
+    return _write_silver(store, rows, "silver_ratings", dropped)
 
 
 def _customer_rating_versions(store, sources, as_of):

@@ -11,7 +11,7 @@ from tiermill.functions import predicates as p
 from tiermill.functions.comments import normalize_comment, quality_score
 from tiermill.operators.cleaning import keep_newest, require_not_null
 from tiermill.operators.numbering import number_all
-from tiermill.operators.quality import funnel
+from tiermill.operators.quality import clean_and_count, funnel
 
 INVENTORY_FIELDS = ["record_id", "branch_id", "color_id", "quantity_used", "timestamp"]
 INVENTORY_KEY = ["record_id", "branch_id", "color_id"]
@@ -45,7 +45,11 @@ def clean_inventory(bronze: DataFrame) -> DataFrame:
 
 def silver_inventory(bronze: DataFrame, as_of: datetime | Column) -> DataFrame:
     """Complete records with a positive quantity, the newest per record, branch and colour."""
-    return clean_inventory(bronze).select(
+    return _inventory_columns(clean_inventory(bronze), as_of)
+
+
+def _inventory_columns(cleaned: DataFrame, as_of: datetime | Column) -> DataFrame:
+    return cleaned.select(
         *INVENTORY_KEY,
         "quantity_used",
         F.to_date("timestamp").alias("report_date"),
@@ -53,15 +57,23 @@ def silver_inventory(bronze: DataFrame, as_of: datetime | Column) -> DataFrame:
     )
 
 
+def inventory_rules() -> list[tuple[str, Column]]:
+    return [
+        ("null_field", p.all_present(INVENTORY_FIELDS)),
+        ("quantity", p.positive("quantity_used")),
+    ]
+
+
 def inventory_funnel(bronze: DataFrame) -> DataFrame:
-    return funnel(
-        bronze,
-        [
-            ("null_field", p.all_present(INVENTORY_FIELDS)),
-            ("quantity", p.positive("quantity_used")),
-        ],
-        [F.col(c) for c in INVENTORY_KEY],
+    return funnel(bronze, inventory_rules(), [F.col(c) for c in INVENTORY_KEY])
+
+
+def counted_inventory(bronze: DataFrame, as_of: datetime | Column) -> tuple[DataFrame, DataFrame]:
+    """``silver_inventory`` and ``inventory_funnel`` from one scan (runs a job)."""
+    rows, counts = clean_and_count(
+        bronze.select(INVENTORY_FIELDS), inventory_rules(), INVENTORY_KEY, ["timestamp", "quantity_used"]
     )
+    return _inventory_columns(rows, as_of), counts
 
 
 def with_calendar(posts: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -85,16 +97,26 @@ def silver_instagram(bronze: DataFrame, dim_date: DataFrame) -> DataFrame:
     return keep_newest(valid, INSTAGRAM_KEY, ["ingestion_date", "likes", "comments"])
 
 
-def instagram_funnel(bronze: DataFrame, dim_date: DataFrame) -> DataFrame:
+def instagram_rules() -> list[tuple[str, Column]]:
+    """The rules for posts with their calendar columns."""
     from_csv = [c for c in INSTAGRAM_FIELDS if c not in ("date_id", "season")]
-    return funnel(
-        with_calendar(bronze, dim_date),
-        [
-            ("null_field", p.all_present(from_csv)),
-            ("outside_calendar", p.all_present(["date_id", "season"])),
-            ("negative_count", p.non_negative(["likes", "comments"])),
-        ],
-        [F.col(c) for c in INSTAGRAM_KEY],
+    return [
+        ("null_field", p.all_present(from_csv)),
+        ("outside_calendar", p.all_present(["date_id", "season"])),
+        ("negative_count", p.non_negative(["likes", "comments"])),
+    ]
+
+
+def instagram_funnel(bronze: DataFrame, dim_date: DataFrame) -> DataFrame:
+    keys = [F.col(c) for c in INSTAGRAM_KEY]
+    return funnel(with_calendar(bronze, dim_date), instagram_rules(), keys)
+
+
+def counted_instagram(bronze: DataFrame, dim_date: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``silver_instagram`` and ``instagram_funnel`` from one scan (runs a job)."""
+    posts = with_calendar(bronze, dim_date)
+    return clean_and_count(
+        posts, instagram_rules(), INSTAGRAM_KEY, ["ingestion_date", "likes", "comments"]
     )
 
 
@@ -148,6 +170,12 @@ def silver_ratings(
     lasting key. ``position`` names the columns that tell two messages apart.
     """
     cleaned = clean_ratings(bronze, as_of, lookback, strict_blank, unicode_words, position)
+    return _numbered_ratings(cleaned, as_of, position)
+
+
+def _numbered_ratings(
+    cleaned: DataFrame, as_of: datetime | Column, position: list[str]
+) -> DataFrame:
     numbered = number_all(cleaned, ["timestamp", "customer_id", *position], "rating_id")
     return numbered.withColumns(
         {
@@ -158,6 +186,20 @@ def silver_ratings(
     ).drop("event_date")
 
 
+def counted_ratings(
+    bronze: DataFrame,
+    as_of: datetime | Column,
+    lookback: timedelta = p.LOOKBACK,
+    position: list[str] = TOPIC_POSITION,
+) -> tuple[DataFrame, DataFrame]:
+    """``silver_ratings`` and ``ratings_funnel`` from one scan (runs jobs for the counts and the ids). All
+    days are read, as the funnel counts them."""
+    named = bronze.withColumn("comment", normalize_comment("comment"))
+    rules = rating_rules(as_of, lookback)
+    rows, counts = clean_and_count(named, rules, RATING_KEY, ["timestamp", *position])
+    return _numbered_ratings(rows, as_of, position), counts
+
+
 def ratings_funnel(
     bronze: DataFrame, as_of: datetime | Column, lookback: timedelta = p.LOOKBACK
 ) -> DataFrame:

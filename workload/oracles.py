@@ -614,6 +614,26 @@ SELECT color_id, times_used, total_quantity_used, coalesce(total_likes, 0) AS to
        round(coalesce((total_likes + total_comments) / (times_used + CAST(1e-6 AS DOUBLE)), 0.0), 6)
          AS engagement_score
 FROM usage LEFT JOIN social USING (color_id)""",
+    "dq_counted_ratings": ORACLES["dq_funnel_ratings"],
+    "dq_counted_inventory": ORACLES["dq_funnel_inventory"],
+    "dq_counted_instagram": ORACLES["dq_funnel_instagram"],
+    "silver_ratings_counted": ORACLES["silver_ratings"],
+    "dq_footer_counts": f"""
+WITH {RATINGS_RAW}
+SELECT 'raw_posts' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS null_customers,
+       CAST(0 AS BIGINT) AS null_comments FROM orders
+UNION ALL SELECT 'silver_inventory', count(*), 0, 0 FROM events WHERE floor(value) - 5 > 0
+UNION ALL SELECT 'raw_ratings', count(*), count(*) - count(customer_id), count(*) - count(comment)
+FROM ratings_raw""",
+    "table_since": f"""
+WITH {RATINGS_RAW}
+SELECT _kafka_offset, strftime("timestamp", {TIME}) AS "timestamp", branch_id FROM ratings_raw
+WHERE ratings_raw."timestamp" BETWEEN TIMESTAMP '2024-01-05 12:00:00'
+  AND TIMESTAMP '2024-01-09 06:00:00'""",
+    "stream_merged": ORACLES["stream_bronze"],
+    "stream_ledger": f"""
+WITH {MESSAGES}
+SELECT DISTINCT event_date, CAST(1 AS BIGINT) AS merge_id FROM parsed WHERE event_date IS NOT NULL""",
     "numbers_updated": f"""
 WITH {RATINGS}
 SELECT row_number() OVER (ORDER BY "timestamp", customer_id, _kafka_topic, _kafka_partition,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from tiermill.session import new_path
 from tiermill.sources.envelope import read_envelope_files
 from tiermill.sources.tables import TableStore
 from tiermill.streaming import ratings as stream
+from tiermill.streaming.ledger import ledger
 from workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -403,6 +404,53 @@ def dq_funnel_instagram(spark, sf_dir):
     return silver.instagram_funnel(v.instagram(spark, sf_dir), v.post_calendar(spark))
 
 
+def dq_counted_ratings(spark, sf_dir):
+    """The funnel from the scan that makes the silver rows."""
+    return silver.counted_ratings(v.ratings_raw(spark, sf_dir), v.as_of(), v.LOOKBACK)[1]
+
+
+def dq_counted_inventory(spark, sf_dir):
+    return silver.counted_inventory(v.inventory(spark, sf_dir), v.as_of())[1]
+
+
+def dq_counted_instagram(spark, sf_dir):
+    return silver.counted_instagram(v.instagram(spark, sf_dir), v.post_calendar(spark))[1]
+
+
+def silver_ratings_counted(spark, sf_dir):
+    """The rows that go with the funnel."""
+    return presented(silver.counted_ratings(v.ratings_raw(spark, sf_dir), v.as_of(), v.LOOKBACK)[0])
+
+
+def dq_footer_counts(spark, sf_dir):
+    """Rows of stored tables, counted from the footers of their files."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("footers"))
+    tables = {
+        "raw_posts": v.instagram(spark, sf_dir),
+        "silver_inventory": silver.silver_inventory(v.event_inventory(spark, sf_dir), v.as_of()),
+        "raw_ratings": v.ratings_raw(spark, sf_dir),
+    }
+    counts = []
+    for name, rows in tables.items():
+        store.write(rows, name, "create")
+        columns = ["customer_id", "comment"] if name == "raw_ratings" else []
+        row = store.footer_counts(name, columns).first()
+        nulls = [row[f"nulls_{c}"] for c in columns] or [0, 0]
+        counts.append((name, row["row_count"], *nulls))
+    schema = "table_name string, row_count long, null_customers long, null_comments long"
+    return spark.createDataFrame(counts, schema)
+
+
+def table_since(spark, sf_dir):
+    """Bronze ratings of some days, of which only the folders are read."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("since"))
+    rows = v.ratings_raw(spark, sf_dir)
+    rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    store.write(rows.withColumn("event_date", F.to_date("timestamp")), "bronze_ratings", "create")
+    got = store.read("bronze_ratings", datetime(2024, 1, 5, 12), datetime(2024, 1, 9, 6))
+    return presented(got.select("_kafka_offset", "timestamp", "branch_id"))
+
+
 def dq_layer_counts(spark, sf_dir):
     ratings = v.ratings_raw(spark, sf_dir)
     return quality.layer_counts(
@@ -581,6 +629,25 @@ def stream_table(spark, sf_dir):
     return _stored_ratings(store.read("bronze_ratings"))
 
 
+def stream_merged(spark, sf_dir):
+    """Half of the messages streamed and merged to the table, then the others by a new checkpoint."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("merged"))
+    folder, messages = new_path(spark, "stream"), v.envelopes(spark, sf_dir)
+    for run in (0, 1):
+        _stream(spark, messages.filter(F.col("offset") % 2 == run), folder, run)
+        run_job("bronze_ratings", store, Sources(ratings_path=f"{folder}/bronze"), v.as_of())
+    return _stored_ratings(store.read("bronze_ratings"))
+
+
+def stream_ledger(spark, sf_dir):
+    """Days in the ledger after the stream was merged twice."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("ledger"))
+    sources = Sources(ratings_path=f"{_streamed(spark, sf_dir)}/bronze")
+    for _ in range(2):
+        run_job("bronze_ratings", store, sources, v.as_of())
+    return presented(ledger(store).select("event_date", "merge_id").dropna())
+
+
 def stream_rejected_all(spark, sf_dir):
     """No message is a rating: all are set aside, and bronze is there and empty."""
     folder = new_path(spark, "stream")
@@ -702,6 +769,12 @@ QUERIES: dict[str, Query] = {
     "dq_funnel_inventory": dq_funnel_inventory,
     "dq_funnel_instagram": dq_funnel_instagram,
     "dq_layer_counts": dq_layer_counts,
+    "dq_counted_ratings": dq_counted_ratings,
+    "dq_counted_inventory": dq_counted_inventory,
+    "dq_counted_instagram": dq_counted_instagram,
+    "silver_ratings_counted": silver_ratings_counted,
+    "dq_footer_counts": dq_footer_counts,
+    "table_since": table_since,
     "dq_reasons": dq_reasons,
     "dq_classified": dq_classified,
     "latest_rows": latest_rows,
@@ -722,6 +795,8 @@ QUERIES: dict[str, Query] = {
     "stream_rejected": stream_rejected,
     "stream_new_checkpoint": stream_new_checkpoint,
     "stream_table": stream_table,
+    "stream_merged": stream_merged,
+    "stream_ledger": stream_ledger,
     "stream_rejected_all": stream_rejected_all,
     "partition_overwrite": partition_overwrite,
     "replace_new_columns": replace_new_columns,
