@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 
 from tiermill.sources.envelope import ENVELOPE, read_envelope_files, read_topic
+from tiermill.streaming import progress
 from tiermill.streaming import ratings as stream
 
 T = datetime(2025, 5, 1, 10, 0, 0, 123456)
@@ -183,3 +184,51 @@ def test_topics_need_the_connector(spark):
         assert "kafka" in str(missing).lower()
     else:
         assert df.isStreaming and set(ENVELOPE.names) <= set(df.columns)
+
+
+def _watched(spark, tmp_path, batches, **options):
+    metrics = progress.BatchMetrics(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(metrics)
+    topic = str(tmp_path / "topic")
+    try:
+        for messages in batches:
+            if messages:
+                envelopes(spark, messages).coalesce(1).write.mode("append").parquet(topic)
+            query = stream.start_bronze(
+                read_envelope_files(spark, topic), str(tmp_path / "bronze"), str(tmp_path / "checkpoint"),
+                until_caught_up=True, **options,
+            )
+            query.awaitTermination()
+            metrics.wait(query)
+    finally:
+        spark.streams.removeListener(metrics)
+    return progress.read_metrics(spark, str(tmp_path / "metrics"))
+
+
+def test_late_and_repeated_rows_are_counted_and_a_replay_once(spark, tmp_path):
+    def at(offset, day):
+        return rating(offset, timestamp=f"2025-05-{day:02d}T10:00:00")
+
+    first = [at(0, 1), at(1, 10), message(2, "no json")]
+    second = [at(1, 10), at(3, 9), at(4, 8), at(5, 2), at(6, 1), at(6, 1)]
+    got = _watched(spark, tmp_path, [first, second], late_after="48 hours")
+    columns = ("batch_id", "rows_in", "rows_kept", "rows_repeated", "rows_late")
+    sums = (9, 4, 1, 4)
+    # the message of the 8th is as late as the watermark itself
+    assert rows(progress.totals(got)) == [sums]
+    stored = stream.read_batches(spark, str(tmp_path / "bronze"))
+    assert rows(stored, "_kafka_offset") == [(0,), (1,), (2,), (3,)]
+    known = rows(got, *columns)
+    last = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").glob("[0-9]*"))
+    for done in (tmp_path / "checkpoint" / "commits").glob(f"*{last}*"):
+        done.unlink()  # as if the query had been cut off before it noted the end of the batch
+    again = _watched(spark, tmp_path, [[]], late_after="48 hours")
+    assert rows(progress.totals(again)) == [sums] and rows(again, *columns) == known
+    assert stream.read_batches(spark, str(tmp_path / "bronze")).count() == 4
+
+
+def test_metrics_of_a_stream_that_drops_nothing(spark, tmp_path):
+    got = _watched(spark, tmp_path, [[rating(0), rating(0)], [rating(1)]])
+    assert rows(got, "rows_in", "rows_kept", "rows_late") == [(1, 1, 0), (2, 2, 0)]
+    assert progress.read_metrics(spark, str(tmp_path / "nothing")).count() == 0
+    assert rows(progress.totals(progress.read_metrics(spark, str(tmp_path / "nothing")))) == [(0, 0, 0, 0)]

@@ -90,11 +90,14 @@ def start_bronze(
     rejected_path: str | None = None,
     until_caught_up: bool = False,
     trigger: str = TRIGGER,
+    late_after: str | None = None,
 ) -> StreamingQuery:
     """Start the stream from envelopes to bronze files; empty batches write nothing.
 
     It runs every ten seconds, or with ``until_caught_up`` works off what is there and ends. With
-    ``rejected_path`` unreadable messages go there, as text, instead of to bronze.
+    ``rejected_path`` unreadable messages go there, as text, instead of to bronze. With ``late_after``
+    messages that come again are dropped, and those that are later than that: a ``BatchMetrics``
+    listener counts both.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -110,8 +113,9 @@ def start_bronze(
         finally:
             batch.unpersist()
 
+    parsed = parse_ratings(envelopes, keep_raw=True)
     writer = (
-        parse_ratings(envelopes, keep_raw=True)
+        (parsed if late_after is None else drop_repeats(parsed, late_after))
         .writeStream.foreachBatch(store)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -587,6 +587,14 @@ SELECT * REPLACE (strftime(post_date, {DAY}) AS post_date,
                   strftime(ingestion_date, {DAY}) AS ingestion_date)
 """
 
+LATE_STREAM = f"""
+WITH {MESSAGES}, mark AS (
+  SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 48 HOUR AS oldest
+  FROM messages WHERE event_id % 3 <> 0 AND readable
+), second AS (
+  SELECT event_id, readable AND ts <= oldest AS late, event_id % 3 <> 0 AS again
+  FROM messages, mark WHERE event_id % 3 = 0 OR event_id % 15 = 1 AND readable
+)"""
 NOT_WRONG = """CAST("timestamp" AS DATE) <> DATE '2024-01-10'"""
 
 ORACLES |= {
@@ -630,6 +638,16 @@ WITH {RATINGS_RAW}
 SELECT _kafka_offset, strftime("timestamp", {TIME}) AS "timestamp", branch_id FROM ratings_raw
 WHERE ratings_raw."timestamp" BETWEEN TIMESTAMP '2024-01-05 12:00:00'
   AND TIMESTAMP '2024-01-09 06:00:00'""",
+    "stream_late_counts": LATE_STREAM + """
+SELECT first + more AS rows_in, first + kept AS rows_kept, repeated AS rows_repeated, late AS rows_late
+FROM (SELECT count(*) AS first FROM messages WHERE event_id % 3 <> 0),
+     (SELECT count(*) AS more, count(*) FILTER (NOT late AND NOT again) AS kept,
+             count(*) FILTER (NOT late AND again) AS repeated, count(*) FILTER (late) AS late
+      FROM second)""",
+    "stream_late_kept": LATE_STREAM + f"""
+SELECT {IDS_AS_TEXT} FROM parsed
+WHERE _kafka_offset % 3 <> 0
+   OR _kafka_offset IN (SELECT event_id FROM second WHERE NOT late AND NOT again)""",
     "stream_merged": ORACLES["stream_bronze"],
     "stream_ledger": f"""
 WITH {MESSAGES}

@@ -31,6 +31,7 @@ from tiermill.sources.envelope import read_envelope_files
 from tiermill.sources.tables import TableStore
 from tiermill.streaming import ratings as stream
 from tiermill.streaming.ledger import ledger
+from tiermill.streaming.progress import BatchMetrics, read_metrics, totals
 from workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -648,6 +649,40 @@ def stream_ledger(spark, sf_dir):
     return presented(ledger(store).select("event_date", "merge_id").dropna())
 
 
+def _late_stream(spark, sf_dir):
+    """Two thirds of the messages; then the others, and some of the first again: what is older than two
+    days before the newest of the first is late. Returns the folder of the stream."""
+    folder, messages = new_path(spark, "stream"), v.envelopes(spark, sf_dir)
+    metrics = BatchMetrics(spark, f"{folder}/metrics")
+    spark.streams.addListener(metrics)
+    again = "offset % 3 = 0 OR offset % 15 = 1 AND offset % 13 <> 0"
+    try:
+        for run, part in enumerate(("offset % 3 <> 0", again)):
+            messages.filter(part).write.mode("append").parquet(f"{folder}/topic")
+            query = stream.start_bronze(
+                read_envelope_files(spark, f"{folder}/topic"),
+                f"{folder}/bronze",
+                f"{folder}/checkpoint",
+                until_caught_up=True,
+                late_after="48 hours",
+            )
+            query.awaitTermination()
+            metrics.wait(query)
+    finally:
+        spark.streams.removeListener(metrics)
+    return folder
+
+
+def stream_late_counts(spark, sf_dir):
+    return totals(read_metrics(spark, f"{_late_stream(spark, sf_dir)}/metrics"))
+
+
+def stream_late_kept(spark, sf_dir):
+    """The rows that the stream with late messages stored."""
+    folder = _late_stream(spark, sf_dir)
+    return _stored_ratings(stream.read_batches(spark, f"{folder}/bronze"))
+
+
 def stream_rejected_all(spark, sf_dir):
     """No message is a rating: all are set aside, and bronze is there and empty."""
     folder = new_path(spark, "stream")
@@ -795,6 +830,8 @@ QUERIES: dict[str, Query] = {
     "stream_rejected": stream_rejected,
     "stream_new_checkpoint": stream_new_checkpoint,
     "stream_table": stream_table,
+    "stream_late_counts": stream_late_counts,
+    "stream_late_kept": stream_late_kept,
     "stream_merged": stream_merged,
     "stream_ledger": stream_ledger,
     "stream_rejected_all": stream_rejected_all,
