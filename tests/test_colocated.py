@@ -1,0 +1,67 @@
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from tiermill.operators.cleaning import keep_newest
+from tiermill.operators.lookups import colocated_join
+from tiermill.sources import tables
+from tiermill.sources.tables import TableStore
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    made = TableStore(spark, str(tmp_path / "store"), database="tiermill_colocated_tests")
+    for table in made.tables():
+        made.drop(table)
+    return made
+
+
+def facts(spark, hot=0):
+    even = spark.range(400).selectExpr("id % 50 AS k", "id % 3 AS kind", "id AS seq", "concat('v', id) AS note")
+    more = spark.range(hot).selectExpr("cast(7 AS bigint)", "id % 3", "id + 1000", "repeat(cast(id AS string), 9)")
+    return even.union(more)
+
+
+def shuffles(df):
+    df.collect()
+    return plan(df).count("Exchange hashpartitioning")
+
+
+def test_aggregates_and_joins_of_buckets_need_no_shuffle(spark, store):
+    dim = spark.range(60).selectExpr("id AS k", "concat('name', id) AS name")
+    for _ in range(2):  # also when they replace tables
+        store.write_bucketed(facts(spark), "facts", ["k"], 8)
+        store.write_bucketed(dim, "names", ["k"], 8)
+    assert store.tables() == ["facts", "names"]
+    newest = keep_newest(store.read_bucketed("facts"), ["k", "kind"], ["seq"])
+    assert shuffles(newest) == 0
+    joined = colocated_join(newest, store.read_bucketed("names"), ["k"])
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "SortMergeJoin" in text
+    wanted = keep_newest(facts(spark), ["k", "kind"], ["seq"]).join(dim, "k")
+    assert rows(joined) == rows(wanted) and joined.count() == 150
+
+
+def test_a_hot_bucket_is_read_without_buckets(spark, store, monkeypatch):
+    monkeypatch.setattr(tables, "HOT_BYTES", 4000)
+    store.write_bucketed(facts(spark, hot=4000), "facts", ["k"], 8)
+    hot = keep_newest(store.read_bucketed("facts"), ["k", "kind"], ["seq"])
+    assert shuffles(hot) == 1
+    assert rows(hot) == rows(keep_newest(facts(spark, hot=4000), ["k", "kind"], ["seq"]))
+    monkeypatch.undo()
+    assert shuffles(keep_newest(store.read_bucketed("facts"), ["k", "kind"], ["seq"])) == 0
+
+
+def test_sides_in_other_buckets_give_the_same_rows(spark, store):
+    store.write_bucketed(facts(spark), "facts", ["k"], 8)
+    dim = spark.range(60).selectExpr("id AS k", "id * 2 AS twice")
+    got = colocated_join(store.read_bucketed("facts"), dim, ["k"], "left")
+    assert got.count() == 400 and got.filter(F.col("twice") != F.col("k") * 2).count() == 0
+
+
+def test_nulls_and_empty_tables(spark, store):
+    some = spark.createDataFrame([(None, 1), (None, 2), (3, 3)], "k long, x long")
+    store.write_bucketed(some, "some", ["k"], 4)
+    assert rows(keep_newest(store.read_bucketed("some"), ["k"], ["x"])) == [(3, 3), (None, 2)]
+    store.write_bucketed(some.limit(0), "none", ["k"], 4)
+    assert store.read_bucketed("none").count() == 0

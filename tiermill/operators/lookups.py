@@ -52,6 +52,14 @@ def lookup_all(
     return fact
 
 
+def colocated_join(
+    fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join two sides that lie in the same buckets of ``keys``: sorted and merged bucket by bucket, without
+    a shuffle. Sides that do not are shuffled first; the rows are the same."""
+    return fact.join(dim.hint("merge"), keys, how)
+
+
 def _length(field: T.StructField) -> Column:
     """Bytes of a column beyond its fixed width."""
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):

@@ -10,6 +10,7 @@ classpath) the table format does this by itself.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from datetime import date, datetime, timedelta
 
@@ -31,6 +32,11 @@ PARTITIONED_BY = {
 TIME_OF_DAY = {"bronze_ratings": "timestamp"}
 # A table that is registered beside the one it will replace.
 NEXT = "__next"
+# Bytes of a bucket that one task reads without harm, and the share of all bytes beyond which a larger
+# one counts as hot. The number of the bucket in the name of a file that Spark has written.
+HOT_BYTES = 512 << 20
+HOT_SHARE = 0.05
+BUCKET_FILE = re.compile(r"_(\d{5,})(?:\.c\d+)?\.[a-z.]*parquet$")
 MODES = ("create", "append", "replace", "overwrite_partitions")
 
 
@@ -197,6 +203,47 @@ class TableStore:
         else:
             self._overwrite_partitions(df, table)
 
+    def write_bucketed(self, df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+        """Create or replace a table whose rows lie in ``buckets`` buckets by the hash that Spark shuffles
+        by, sorted by the keys within each file: what is grouped by, or joined on, these keys (or more)
+        needs no shuffle then.
+
+        Rows are gathered by bucket first; a bucket with very many rows is written by several tasks.
+        """
+        if self.provider != "parquet":
+            raise ValueError("buckets are for Parquet tables")
+        if table in TABLES:
+            df = conform(df, TABLES[table])
+        bucket = F.pmod(F.hash(*keys), F.lit(buckets)).alias("_bucket")
+        gathered = df.select("*", bucket).hint("rebalance", "_bucket").drop("_bucket")
+        found, name = self.exists(table), table
+        if found:
+            name = table + NEXT
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+        writer = gathered.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+        writer.option("path", self._new_location(table)).saveAsTable(self.name(name))
+        if found:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+            self._rename(name, table)
+            self.drop_old_files(table, keep=1)
+
+    def read_bucketed(self, table: str, hot_share: float = HOT_SHARE) -> DataFrame:
+        """The rows of a bucketed table. If one bucket holds more than ``HOT_BYTES`` and more than
+        ``hot_share`` of all bytes, which a hot key makes it do, the buckets are not used: a task reads a
+        whole bucket, while without them Spark deals the files out evenly and shuffles what it has to.
+        """
+        rows = self.read(table)
+        folder, files = hadoop_path(self.spark, self._location(table))
+        sizes: dict[str, int] = {}
+        for status in files.listStatus(folder):
+            bucket = BUCKET_FILE.search(status.getPath().getName())
+            if bucket:
+                sizes[bucket[1]] = sizes.get(bucket[1], 0) + status.getLen()
+        largest = max(sizes.values(), default=0)
+        if largest <= max(HOT_BYTES, hot_share * sum(sizes.values())):
+            return rows
+        return self.spark.read.schema(rows.schema).parquet(self._location(table))
+
     def _partitions(self, table: str) -> list[str]:
         """The partition columns, by PARTITIONED_BY or else by the catalog."""
         if table in PARTITIONED_BY or self.provider != "parquet" or not self.exists(table):

@@ -622,6 +622,11 @@ SELECT color_id, times_used, total_quantity_used, coalesce(total_likes, 0) AS to
        round(coalesce((total_likes + total_comments) / (times_used + CAST(1e-6 AS DOUBLE)), 0.0), 6)
          AS engagement_score
 FROM usage LEFT JOIN social USING (color_id)""",
+    "ratings_star_colocated": ORACLES["ratings_star"],
+    "silver_ratings_colocated": f"""
+WITH {RATINGS}
+SELECT customer_id, CAST(rating_value AS DOUBLE) AS rating_value, comment,
+       strftime("timestamp", {TIME}) AS "timestamp", _kafka_offset FROM ratings_clean""",
     "dq_counted_ratings": ORACLES["dq_funnel_ratings"],
     "dq_counted_inventory": ORACLES["dq_funnel_inventory"],
     "dq_counted_instagram": ORACLES["dq_funnel_instagram"],

@@ -336,6 +336,35 @@ def ratings_star_all_hot(spark, sf_dir):
     return _ratings_star(spark, sf_dir, broadcast_rows=0, hot_key_rows=0)
 
 
+def _bucketed(spark, sf_dir) -> TableStore:
+    """Raw ratings and customers in the same buckets by customer."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("buckets"))
+    store.write_bucketed(v.ratings_raw(spark, sf_dir), "raw_ratings", ["customer_id"], 16)
+    store.write_bucketed(v.customers(spark, sf_dir), "versions", ["customer_id"], 16)
+    return store
+
+
+def ratings_star_colocated(spark, sf_dir):
+    """Cleaning, keeping the newest and the join to the customers without a shuffle."""
+    store = _bucketed(spark, sf_dir)
+    ratings = silver.clean_ratings(store.read_bucketed("raw_ratings"), v.as_of(), v.LOOKBACK)
+    return presented(
+        stars.ratings_star_colocated(
+            ratings,
+            store.read_bucketed("versions"),
+            v.branches(spark, sf_dir),
+            v.treatments(spark, sf_dir),
+            v.ratings_calendar(spark),
+        )
+    )
+
+
+def silver_ratings_colocated(spark, sf_dir):
+    """The newest ratings from a bucketed table."""
+    rows = silver.clean_ratings(_bucketed(spark, sf_dir).read_bucketed("raw_ratings"), v.as_of(), v.LOOKBACK)
+    return presented(rows.select("customer_id", "rating_value", "comment", "timestamp", "_kafka_offset"))
+
+
 def sessions_star(spark, sf_dir):
     return presented(
         stars.sessions_star(
@@ -793,6 +822,8 @@ QUERIES: dict[str, Query] = {
     "scd2_from_changes_sliced": scd2_changes_sliced,
     "ratings_star": ratings_star,
     "ratings_star_salted": ratings_star_salted,
+    "ratings_star_colocated": ratings_star_colocated,
+    "silver_ratings_colocated": silver_ratings_colocated,
     "sessions_star": sessions_star,
     "social_star": social_star,
     "inventory_star": inventory_star,
