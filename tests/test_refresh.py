@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tiermill import schemas
 from tiermill.plans.dimensions import build_dim_date
-from tiermill.plans.refresh import JOBS, Sources, refresh, run_job
+from tiermill.plans import refresh as plans
+from tiermill.plans.refresh import JOBS, NEEDS, Sources, refresh, run_job
 from tiermill.session import intermediates, shared_dir, written
 from tiermill.sources.envelope import ENVELOPE
 from tiermill.sources.tables import TableStore
@@ -164,3 +165,51 @@ def test_blocks_in_two_threads_keep_their_own_files(spark):
     second_is_done.set()
     thread.join(60)
     assert found == [5]
+
+
+def test_independent_jobs_overlap_and_needed_ones_come_first(store, monkeypatch):
+    """Jobs that note when they run: the independent ones meet, and nothing starts before what it needs."""
+    started, ended, together = [], [], Event()
+
+    def job(name):
+        def run(*_):
+            started.append((name, list(ended)))
+            if len({n for n, _ in started} - set(ended)) >= 3:
+                together.set()
+            assert name not in ("dimensions", "bronze_inventory") or together.wait(60)
+            ended.append(name)
+
+        return run
+
+    monkeypatch.setattr(plans, "JOBS", {name: job(name) for name in JOBS})
+    plans._run_graph(store, Sources(), NOW, None, set(), 4)
+    assert sorted(ended) == sorted(JOBS) and together.is_set()
+    for name, before in started:
+        assert set(NEEDS.get(name, ())) <= set(before)
+
+
+def test_a_failed_run_goes_on_with_the_jobs_that_are_missing(store, sources, monkeypatch):
+    ran = []
+
+    def watched(name, broken):
+        def run(*args):
+            ran.append(name)
+            if name == broken:
+                raise RuntimeError("lost")
+            return JOBS[name](*args)
+
+        return run
+
+    monkeypatch.setattr(plans, "JOBS", {name: watched(name, "silver_ratings") for name in JOBS})
+    with pytest.raises(RuntimeError, match="lost"):
+        refresh(store, sources, NOW, run="monday")
+    noted = {r["job"] for r in store.read("refresh_jobs").collect()}
+    assert "silver_ratings" in ran and "gold_branch_kpis" not in ran
+    assert noted == set(ran) - {"silver_ratings"}
+    ran.clear()
+    monkeypatch.setattr(plans, "JOBS", {name: watched(name, None) for name in JOBS})
+    assert refresh(store, sources, NOW, run="monday").count() == 10
+    assert sorted([*ran, *noted]) == sorted(JOBS)
+    ran.clear()
+    refresh(store, sources, NOW, run="monday")
+    assert ran == []

@@ -24,6 +24,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--database", default="default", help="database or catalog of the tables")
     parser.add_argument("--provider", default="parquet", choices=["parquet", "iceberg"])
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="default: the current time")
+    parser.add_argument("--run", help="name of a refresh; after a failure the same name goes on with it")
     parser.add_argument("--inventory", default="", help="inventory CSV")
     parser.add_argument("--instagram", default="", help="social posts CSV")
     parser.add_argument("--late-instagram", default="", help="social posts CSV that arrived late")
@@ -61,7 +62,7 @@ def main() -> None:
     )
     as_of = args.as_of or datetime.now(timezone.utc)
     if args.job == "refresh":
-        refresh(store, sources, as_of).show(truncate=False)
+        refresh(store, sources, as_of, args.run).show(truncate=False)
     else:
         for metric, count in run_job(args.job, store, sources, as_of).items():
             print(f"{metric}: {count}")

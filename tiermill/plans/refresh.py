@@ -1,8 +1,9 @@
-"""The jobs by name, and the full refresh: all of them in the order in which they need each other."""
+"""The jobs by name, and the full refresh: all of them, each when those that it needs are done."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -14,7 +15,7 @@ from tiermill.operators.quality import layer_counts, observed
 from tiermill.plans import gold, silver
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
-from tiermill.schemas import SILVER_REQUIRED
+from tiermill.schemas import SILVER_REQUIRED, TABLES
 from tiermill.session import intermediates, written
 from tiermill.sources.tables import TableStore
 from tiermill.streaming.ledger import merge_batches
@@ -158,9 +159,75 @@ def run_job(name: str, store: TableStore, sources: Sources, as_of: datetime | Co
         return JOBS[name](store, sources, as_of) or {}
 
 
-def refresh(store: TableStore, sources: Sources, as_of: datetime | Column) -> DataFrame:
-    """Run all jobs and return the row count of each bronze, silver and gold table."""
-    for name in JOBS:
-        run_job(name, store, sources, as_of)
+# The jobs whose tables a job reads.
+NEEDS: dict[str, tuple[str, ...]] = {
+    "late_instagram": ("bronze_instagram",),
+    "silver_inventory": ("bronze_inventory",),
+    "silver_instagram": ("late_instagram", "dimensions"),
+    "silver_ratings": ("bronze_ratings",),
+    "customer_rating_versions": ("silver_ratings",),
+    "gold_branch_kpis": ("silver_ratings", "dimensions"),
+    "gold_color_engagement": ("silver_inventory", "silver_instagram"),
+    "gold_customer_metrics": ("silver_ratings",),
+}
+RUNS = "refresh_jobs"
+
+
+def refresh(
+    store: TableStore,
+    sources: Sources,
+    as_of: datetime | Column,
+    run: str | None = None,
+    parallel: int = 4,
+) -> DataFrame:
+    """Run all jobs and return the row count of each bronze, silver and gold table.
+
+    A job starts when those that it needs are done, up to ``parallel`` at once, each in a scheduler pool
+    of its own. If one fails, those that run are waited for, no other is started, and the failure is
+    raised. With the name of a ``run``, finished jobs are noted in a table, and the same run started
+    again goes on with those that are not; it has to have the same ``as_of``.
+    """
+    done = _finished(store, run)
+    _run_graph(store, sources, as_of, run, done, parallel)
     built = [name for name in JOBS if name not in ("dimensions", "late_instagram")]
     return layer_counts({name: store.read(name) for name in built})
+
+
+def _finished(store: TableStore, run: str | None) -> set[str]:
+    if run is None:
+        return set()
+    store.create(RUNS)
+    return {r["job"] for r in store.read(RUNS).filter(F.col("run") == run).select("job").collect()}
+
+
+def _run_graph(store, sources, as_of, run: str | None, done: set[str], parallel: int) -> None:
+    context = store.spark.sparkContext
+
+    def start(name: str) -> str:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        run_job(name, store, sources, as_of)
+        return name
+
+    waiting = [name for name in JOBS if name not in done]
+    with ThreadPoolExecutor(parallel) as pool:
+        running: set[Future] = set()
+        while waiting or running:
+            ready = [name for name in waiting if done.issuperset(NEEDS.get(name, ()))]
+            for name in ready[: parallel - len(running)]:
+                waiting.remove(name)
+                running.add(pool.submit(start, name))
+            ended, running = wait(running, return_when=FIRST_COMPLETED)
+            # Noted here, one after the other: two appends to one table would disturb each other. Those
+            # that went well are noted before the failure of another one is raised.
+            failed = [job for job in ended if job.exception()]
+            if failed:
+                rest, running = wait(running)
+                ended |= rest
+            for job in ended:
+                if not job.exception():
+                    done.add(job.result())
+                    if run is not None:
+                        noted = [(run, job.result(), datetime.now())]
+                        store.write(store.spark.createDataFrame(noted, TABLES[RUNS]), RUNS, "append")
+            if failed:
+                raise failed[0].exception()

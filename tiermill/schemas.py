@@ -82,6 +82,7 @@ TABLES: dict[str, T.StructType] = {
             ).fields,
         ]
     ),
+    "refresh_jobs": _schema("run string; job string; finished timestamp"),
     "bronze_ratings_batches": _schema(
         "run_id string; batch_id bigint; event_date date; stamp bigint; merge_id bigint"
     ),

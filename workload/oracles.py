@@ -622,6 +622,12 @@ SELECT color_id, times_used, total_quantity_used, coalesce(total_likes, 0) AS to
        round(coalesce((total_likes + total_comments) / (times_used + CAST(1e-6 AS DOUBLE)), 0.0), 6)
          AS engagement_score
 FROM usage LEFT JOIN social USING (color_id)""",
+    "refresh_resumed": """
+SELECT unnest(['dimensions', 'bronze_inventory', 'bronze_instagram', 'late_instagram', 'bronze_ratings',
+               'silver_inventory', 'silver_instagram', 'silver_ratings', 'customer_rating_versions',
+               'gold_branch_kpis', 'gold_color_engagement', 'gold_customer_metrics']) AS job,
+       CAST(1 AS BIGINT) AS times, count(*) AS bronze_ratings, count(*) AS bronze_instagram
+FROM events""",
     "ratings_star_colocated": ORACLES["ratings_star"],
     "silver_ratings_colocated": f"""
 WITH {RATINGS}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -803,6 +805,28 @@ def full_refresh(spark, sf_dir):
     return _refreshed(spark, sf_dir)[1]
 
 
+def refresh_resumed(spark, sf_dir):
+    """A refresh that fails without its posts, then goes on with the jobs that are missing: which jobs
+    were run, and how often they were noted."""
+    store = TableStore(spark, new_path(spark, "store"), database=_new_database("resumed"))
+    tables = ["dim_branches", "dim_employees", "dim_colors", "dim_customers", "dim_treatments"]
+    sources = Sources(
+        inventory_csv=_as_csv(v.event_inventory(spark, sf_dir), "inventory-csv"),
+        instagram_csv=new_path(spark, "missing-csv"),
+        dimension_files={t: _dimension_csv(spark, sf_dir, t) for t in [*tables, "dim_date"]},
+        ratings_path=f"{_streamed(spark, sf_dir)}/bronze",
+    )
+    as_of = v.as_of().cast("timestamp")
+    try:
+        refresh(store, sources, as_of, run="first")
+    except AnalysisException:
+        posts = _as_csv(v.event_posts(spark, sf_dir).withColumn("ingestion_date", F.col("post_date")), "csv")
+        refresh(store, replace(sources, instagram_csv=posts), as_of, run="first")
+    counts = [f"(SELECT count(*) FROM {store.name(t)}) AS {t}" for t in ("bronze_ratings", "bronze_instagram")]
+    jobs = store.read("refresh_jobs").groupBy("run", "job").agg(F.count("*").alias("times"))
+    return jobs.selectExpr("job", "times", *counts)
+
+
 def refresh_silver_inventory(spark, sf_dir):
     """The rows of a table after the full refresh."""
     return presented(_refreshed(spark, sf_dir)[0].read("silver_inventory"))
@@ -883,4 +907,5 @@ QUERIES: dict[str, Query] = {
     "ratings_star_all_hot": ratings_star_all_hot,
     "refresh_silver_inventory": refresh_silver_inventory,
     "full_refresh": full_refresh,
+    "refresh_resumed": refresh_resumed,
 }
