@@ -49,8 +49,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.coalesce(F.col("page_id") % 2 == 0, F.lit(True))
     write_arc(pages.filter(~even), f"{arc}/v1", version=1)
     write_arc(pages.filter(even), f"{arc}/v2", version=2)
-    write_warc(convert_arc(spark, arc), folder, least_bytes=0)
-    records = read_warc(spark, folder, payloads=False)
+    write_warc(convert_arc(spark, arc), folder, 0, convert_arc(spark, arc, payloads=False))
+    records = written(read_warc(spark, folder, payloads=False), "warc-records")
     return with_referred_page(records).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import short_batches
+from tiermill.llm.common import broadcast_if_small, short_batches
+from tiermill.session import written
 
 # Fixed values of the two formats.
 VERSION_1 = "1 0 archiver\nURL IP-address Archive-date Content-type Archive-length\n"
@@ -84,8 +85,10 @@ class Inflated:
             part = self.gzip.decompress(self.left[:CHUNK])
             rest = len(self.gzip.unused_data)
             self.left = self.left[min(CHUNK, len(self.left)) - rest :]
-            if self.gzip.eof:  # files may hold a gzip member per record
+            if self.gzip.eof:  # files may hold a gzip member per record, and zeros after the last
                 self.gzip = zlib.decompressobj(31)
+                while len(self.left) and self.left[0] == 0:
+                    self.left = self.left[1:]
             if part:
                 self.held, self.at = self.held[self.at :] + part, 0
                 return True
@@ -129,7 +132,9 @@ def arc_records(content: bytes) -> Iterator[dict]:
 
 
 def _http(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
-    """Headers by lower-case name, their bytes, and the payload."""
+    """Headers by lower-case name, their bytes, and the payload: all of a block that is no HTTP answer."""
+    if not block.startswith(b"HTTP/"):
+        return {}, b"", block
     head, gap, payload = block.partition(b"\r\n\r\n")
     lines = head.decode("latin-1").split(CRLF)[1:]
     return {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in lines)}, head + gap, payload
@@ -141,16 +146,18 @@ def payload_digest(payload: bytes) -> str:
 
 CONVERTED = (
     "record_id string, uri string, date string, mime string, page_id long, bytes long,"
-    " digest string, head string, payload string"
+    " digest string, head binary, payload binary"
 )
 
 
-def convert_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the ARC files below ``path``, with what a WARC record needs that they lack.
+def convert_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """The records of the ARC files below ``path``, with what a WARC record needs that they lack. Bytes
+    are carried as they are, whatever they encode; without ``payloads`` these are null.
 
     ``record_id`` is a UUID made from the file, the place in it and the digest, the same whenever the
     file is read again; ``date`` is the archive date in ISO form; ``digest`` is the base32 SHA-1 of the
-    payload. Lengths are those declared; a file that ends early is an error.
+    payload. Records that are no HTTP answers (``dns:`` and the like) have an empty ``head`` and are
+    payload as a whole. Lengths are those declared; a file that ends early is an error.
     """
     short_batches(spark, 8)
 
@@ -173,8 +180,8 @@ def convert_arc(spark: SparkSession, path: str) -> DataFrame:
                             int(number) if number else None,
                             len(payload),
                             digest,
-                            head.decode("latin-1"),
-                            payload.decode("utf-8"),
+                            head,
+                            payload if payloads else None,
                         )
                     )
                     if len(rows) == 500:
@@ -191,17 +198,35 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return frame.astype({"page_id": "Int64"})
 
 
-def write_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Converted records as WARC 1.1 files. Of records with equal payloads of at least ``least_bytes``
-    that with the smallest ``page_id`` (null last, then the smallest record id) is a response and the
-    others are revisits of it, without the payload; smaller ones are responses."""
+def write_warc(
+    records: DataFrame, path: str, least_bytes: int = 0, heads: DataFrame | None = None
+) -> None:
+    """Converted records as WARC 1.1 files. Of HTTP answers with equal payloads of at least
+    ``least_bytes`` that with the smallest ``page_id`` (null last, then the smallest record id) is a
+    response and the others are revisits of it, without the payload; smaller ones are responses. Other
+    records are resources.
+
+    Who is first is found among ``heads``, the same records, which need no payloads; only payloads that
+    occur more than once are looked up, so the payloads of all rows are not shuffled as long as the list
+    of these is small.
+    """
     own = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "record_id", "uri", "date")
-    shared = F.col("bytes") >= least_bytes
-    first = records.filter(shared).groupBy("digest", "bytes").agg(F.min(own).alias("first"))
-    same = (records["digest"] == first["digest"]) & (records["bytes"] == first["bytes"])
-    joined = records.join(first, same, "left").select(records["*"], "first")
+    shared = (F.col("bytes") >= least_bytes) & (F.length("head") > 0)
+    heads = records if heads is None else heads
+    first = heads.filter(shared).groupBy(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes")).agg(
+        F.min(own).alias("first"), F.count(F.lit(1)).alias("_n")
+    )
+    # An id, two dates or so and an address a row; addresses differ in length.
+    first = written(first.filter("_n > 1").drop("_n"), "first-records")
+    longest = first.agg(F.max(F.octet_length("first.uri"))).first()[0] or 0
+    first = broadcast_if_small(first, 400 + longest)
+    same = (F.col("digest") == F.col("_digest")) & (F.col("bytes") == F.col("_bytes")) & shared
+    joined = records.join(first, same, "left")
     revisit = F.coalesce(F.col("first.record_id") != F.col("record_id"), F.lit(False))
-    block = F.when(revisit, F.col("head")).otherwise(F.concat("head", "payload"))
+    http = F.length("head") > 0
+    # Strings here are bytes that are written as they are.
+    head, payload = F.col("head").cast("string"), F.col("payload").cast("string")
+    block = F.when(revisit, head).otherwise(F.concat(head, payload))
 
     def named(name: str, value) -> Column:
         value = value if isinstance(value, Column) else F.lit(value)
@@ -215,14 +240,14 @@ def write_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
     ]
     header = F.concat(
         F.lit("WARC/1.1" + CRLF),
-        named("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
+        named("WARC-Type", F.when(revisit, "revisit").when(http, "response").otherwise("resource")),
         named("WARC-Record-ID", F.concat(F.lit("<"), F.col("record_id"), F.lit(">"))),
         named("WARC-Date", F.col("date")),
         named("WARC-Target-URI", F.col("uri")),
         named("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         named("WARC-Identified-Payload-Type", F.col("mime")),
         F.when(revisit, F.concat(*refers)).otherwise(F.lit("")),
-        named("Content-Type", "application/http; msgtype=response"),
+        named("Content-Type", F.when(http, "application/http; msgtype=response").otherwise(F.col("mime"))),
         named("Content-Length", F.octet_length(block).cast("string")),
         F.lit(CRLF),
     )
@@ -250,21 +275,25 @@ READ = (
 )
 
 
-def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read_warc(
+    spark: SparkSession, path: str, payloads: bool = True, binary: bool = False
+) -> DataFrame:
     """The records of the WARC files below ``path``; ``payload`` is null for revisits, and for all
-    records without ``payloads``. ``payload_bytes`` is that of the full payload. A response whose
+    records without ``payloads``. It is text, with a replacement character for what is no UTF-8, or as
+    it is with ``binary``. ``payload_bytes`` is that of the full payload. A response or resource whose
     payload does not have its digest is an error."""
     short_batches(spark, 8)
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in READ.split(", ")]
+        shown = bytes if binary else lambda payload: payload.decode("utf-8", "replace")
         for frame in frames:
             for content in frame["content"]:
                 rows = []
                 for fields, block in warc_records(content):
                     headers, _, payload = _http(block)
                     digest = fields["warc-payload-digest"].partition(":")[2]
-                    response = fields["warc-type"] == "response"
+                    response = fields["warc-type"] in ("response", "resource")
                     if response and payload_digest(payload) != digest:
                         raise ValueError(f"{fields['warc-record-id']} does not have its digest")
                     number = headers.get("x-page-id")
@@ -278,7 +307,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                             fields.get("warc-refers-to", "").strip("<>") or None,
                             fields["warc-target-uri"],
                             fields["warc-date"],
-                            payload.decode("utf-8") if payloads and response else None,
+                            shown(payload) if payloads and response else None,
                         )
                     )
                     if len(rows) == 500:
@@ -287,11 +316,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                 yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64"})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("content").mapInPandas(read, READ)
+    schema = READ.replace("payload string", "payload binary") if binary else READ
+    return files.select("content").mapInPandas(read, schema)
 
 
 def with_referred_page(records: DataFrame) -> DataFrame:
-    """Read records with ``refers_to``: the ``page_id`` of the response that a revisit refers to."""
+    """Read records with ``refers_to``: the ``page_id`` of the response that a revisit refers to. They are
+    read several times, so archives should be read and written before."""
     responses = records.filter("record_type = 'response'").select(
         F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to")
     )
