@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tiermill.llm.html_text import render, visible_text
@@ -118,3 +120,17 @@ def test_quotes_open_strings_only_where_a_value_begins(page, text):
 )
 def test_spans_and_formulas(page, text):
     assert render(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 200_000, "</div>" * 200_000, "<p><button>" + "<div>" * 100_000,
+        "<div>" * 100_000 + "</p>" * 100_000, "<td>" * 100_000, "<b>" * 100_000 + "</i>" * 100_000,
+        "<li>" * 100_000, "word " * 400_000, "<pre>" + "a\n" * 200_000,
+    ],
+)
+def test_broken_pages_take_time_in_proportion(page):
+    started = time.process_time()
+    assert render(page + "end").endswith("end")
+    assert time.process_time() - started < 20

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -71,27 +72,44 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
+class Open:
+    """The open elements from the root down, and the depths at which each tag is open: so the nearest of
+    some tags is found without a walk, however many elements a broken page leaves open."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.depths = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.depths[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        """End all elements from ``depth`` on."""
+        while len(self.nodes) > depth:
+            self.depths[self.nodes.pop().tag].pop()
+
+    def nearest(self, tags) -> int:
+        """The depth of the innermost open element of ``tags``; 0 if there is none."""
+        return max([held[-1] for tag in tags if (held := self.depths.get(tag))], default=0)
+
+    def close(self, tags: frozenset, until: frozenset) -> None:
+        """End the open elements ``tags`` within the nearest of ``until``, and all within them."""
+        border = self.nearest(until)
+        while (depth := self.nearest(tags)) > border:
+            self.cut(depth)
+
+
 def parse(page: str) -> Node:
     """The tree of a page. End tags that may be left out are implied; an end tag without a start, and
     what looks like a tag but is none, are dropped or kept as text, as browsers do."""
     root = Node("html", {})
-    stack, at = [root], 0
+    stack, at = Open(root), 0
 
     def text(part: str) -> None:
-        if stack[-1].tag == "head" and part.strip(" \t\n\r\f"):
-            stack.pop()
+        if stack.nodes[-1].tag == "head" and part.strip(" \t\n\r\f"):
+            stack.cut(len(stack.nodes) - 1)
         if part:
-            stack[-1].children.append(html.unescape(part))
-
-    def close(tags: frozenset, until: frozenset) -> None:
-        """End the open elements ``tags`` above the nearest of ``until``, and all within them."""
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in until:
-                return
-            if stack[depth].tag in tags:
-                del stack[depth:]
-                # A cell's row may be open as well, and so on.
-                return close(tags, until)
+            stack.nodes[-1].children.append(html.unescape(part))
 
     while (found := TOKEN.search(page, at)) is not None:
         text(page[at : found.start()])
@@ -99,18 +117,14 @@ def parse(page: str) -> Node:
         end, tag, rest = found.groups()
         if end:
             end = end.lower()
-            if end == "p" and not any(n.tag == "p" for n in stack):
-                stack[-1].children.append(Node("p", {}))
+            if end == "p" and not stack.depths["p"]:
+                stack.nodes[-1].children.append(Node("p", {}))
             if end == "br":
-                stack[-1].children.append(Node("br", {}))
+                stack.nodes[-1].children.append(Node("br", {}))
                 continue
             limit = SCOPES - {end} if end not in ("table", "body", "html") else frozenset()
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == end:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in limit:
-                    break
+            if (depth := stack.nearest((end,))) > stack.nearest(limit):
+                stack.cut(depth)
         elif tag:
             tag = tag.lower()
             attributes = {}
@@ -121,17 +135,17 @@ def parse(page: str) -> Node:
                 root.attributes.update(attributes)
                 continue
             if tag in PARAGRAPH_ENDS:
-                close(frozenset({"p"}), SCOPES)
+                stack.close(frozenset({"p"}), SCOPES)
             if tag in IMPLIED_ENDS:
-                close(*IMPLIED_ENDS[tag])
-            if tag == "body" or (tag not in HEAD and stack[-1].tag == "head"):
-                close(frozenset({"head"}), frozenset())
-            if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
+                stack.close(*IMPLIED_ENDS[tag])
+            if tag == "body" or (tag not in HEAD and stack.nodes[-1].tag == "head"):
+                stack.close(frozenset({"head"}), frozenset())
+            if tag in ("td", "th") and stack.nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr", {})
-                stack[-1].children.append(row)
-                stack.append(row)
+                stack.nodes[-1].children.append(row)
+                stack.push(row)
             node = Node(tag, attributes)
-            stack[-1].children.append(node)
+            stack.nodes[-1].children.append(node)
             if tag in RAW:
                 last = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 inside = page[at : last.start() if last else len(page)]
@@ -139,7 +153,7 @@ def parse(page: str) -> Node:
                 if tag == "textarea":
                     node.children.append(html.unescape(inside))
             elif tag not in VOID:
-                stack.append(node)
+                stack.push(node)
     text(page[at:])
     return root
 
@@ -157,22 +171,31 @@ class Layout:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.current, self.blank, self.space = "", False, False
+        # The parts of the line that is being filled.
+        self.current: list[str] = []
+        self.blank, self.space = False, False
 
     def words(self, text: str) -> None:
         for i, part in enumerate(SPACE.split(text)):
             self.space = self.space or i > 0
             if part:
-                self.current += (" " if self.space and self.current else "") + part
+                if self.space and self.current:
+                    self.current.append(" ")
+                self.current.append(part)
                 self.space = False
 
+    def add(self, text: str) -> None:
+        """Text as it is, with its blanks."""
+        if text:
+            self.current.append(text)
+
     def end_line(self) -> None:
         if self.current:
             if self.blank and self.lines:
                 self.lines.append("")
-            self.lines.append(self.current)
+            self.lines.append("".join(self.current))
             self.blank = False
-        self.current, self.space = "", False
+        self.current, self.space = [], False
 
     def put(self, lines: list[str], first: str = "", rest: str = "") -> None:
         """Whole lines, the first and the others with something before them."""
@@ -205,10 +228,10 @@ def _inside(node: Node, layout: Layout, depth: int) -> None:
         elif isinstance(item, str):
             if pre:
                 first, *others = item.split("\n")
-                layout.current += first
+                layout.add(first)
                 for line in others:
                     layout.end_line() if layout.current else layout.put([""])
-                    layout.current = line
+                    layout.add(line)
             else:
                 layout.words(item)
         elif not visible(item):
