@@ -1,6 +1,7 @@
 import numpy as np
 
 from tests_llm_text import edge_docs, no_docs  # noqa: F401
+from tiermill.llm import quality
 from tiermill.llm.quality import (
     BAD,
     GOOD,
@@ -62,3 +63,14 @@ def test_label_model_recovers_accuracies():
     belief = posterior(prior, chances, seen)
     majority = (seen == GOOD).sum(axis=1) >= (seen == BAD).sum(axis=1)
     assert ((belief > 0.5) == good).mean() >= (majority == good).mean()
+
+
+def test_long_words_and_texts_are_looked_at_as_a_whole():
+    long_word = "a" * 30
+    assert quality.features(long_word + "!") != quality.features(long_word + "9")
+    assert quality.features("x" * 24 + "AAA1") != quality.features("x" * 24 + "bbb")
+    fresh = [f"w{i}" for i in range(1000)]
+    for count in (1000, 1001, 5000):
+        words = (fresh * 5)[:count]
+        assert quality.votes(" ".join(words))[7] == quality.GOOD
+        assert quality.votes(" ".join(["a", "b", "c"] * count))[7] == quality.BAD

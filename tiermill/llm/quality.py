@@ -37,6 +37,7 @@ LINE = re.compile(r"[^\n]*\S[^\n]*")
 REPEATED = re.compile(r"(.)\1+")
 GOOD, BAD, NONE = 2, 1, 0
 LABELLERS = 8
+PIECE_WORDS = 1000
 PRIOR_SHARE = 0.01
 SCALE = 5.0  # of word shares, so that weights need not grow large
 
@@ -72,10 +73,17 @@ def votes(text: str | None) -> tuple[int, ...]:
         GOOD if stops >= 0.1 else BAD if stops <= 0.04 and n >= 20 else NONE,
         _between(top, 0.2, 0.1) if n >= 20 else NONE,
         BAD if same >= 0.3 and len(lines) > 3 else NONE,
-        _between(1 - len(counts) / n, 0.6, 0.35) if 20 <= n <= 1000 else NONE,
+        _between(_repeated(words), 0.6, 0.35) if n >= 20 else NONE,
     )
 
 
+def _repeated(words: list[str]) -> float:
+    """The share of words that occurred before in their piece of PIECE_WORDS: over a whole text it grows
+    with the length of the text, whatever the text is like."""
+    pieces = [words[at : at + PIECE_WORDS] for at in range(0, len(words), PIECE_WORDS)]
+    return 1 - sum(len(set(piece)) for piece in pieces) / len(words)
+
+
 
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200):
     """Expectation-maximisation over how often each pattern of votes occurs.
@@ -116,7 +124,7 @@ def posterior(prior: float, chances: np.ndarray, patterns: np.ndarray) -> np.nda
 def features(word: str) -> tuple[int, int]:
     """Buckets of a word in lower case and of its shape: letters by case, digits, and marks."""
     shape = "".join(
-        "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:24]
+        "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word
     )
     shape = REPEATED.sub(r"\1\1", shape)
     return crc32(f"w{word.lower()}".encode()) % BUCKETS, crc32(f"s{shape}".encode()) % BUCKETS
