@@ -22,16 +22,33 @@ from tiermill.session import written
 LENGTH = 4096
 END_ID = 1
 
-# Words and chunks whose ids a Python worker remembers; the older half goes when twice as many are.
-# Words cost more to find again. Together they take about 130 MB.
-REMEMBERED = 200_000
-REMEMBERED_CHUNKS = 100_000
+# Words whose ids a Python worker remembers, and chunks of texts with rare letters; the older half goes
+# when twice as many are. Together they take about 200 MB.
+REMEMBERED = 400_000
+REMEMBERED_CHUNKS = 50_000
 
 # The words of the tokenizer file's own splitting rule.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Chunks that are split here; others go to the tokenizer, whose rule has its own idea of rare letters.
 PLAIN = re.compile("[!-~\u00a1-\u024f]+")
 LONGEST_REMEMBERED = 64
+# Texts of these characters only are cut by one pattern, made of the same rule for them.
+PLAIN_TEXT = re.compile("[!-~\u00a1-\u024f \\t\\n\\r\\f\\v]*")
+
+
+def _plain_words() -> re.Pattern:
+    kinds = {"L": "", "N": ""}
+    for code in [*range(0x21, 0x7F), *range(0xA1, 0x250)]:
+        kind = unicodedata.category(chr(code))[0]
+        if kind in kinds:
+            kinds[kind] += chr(code)
+    letters, numbers = kinds["L"], kinds["N"]
+    return re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+"
+    )
+
+
+PLAIN_WORDS = _plain_words()
 # Texts in which a part may be tokenized in another way than within the whole: characters whose lower
 # case is another number of characters or depends on the place, separators that are white space for
 # Python only, and strings of special tokens.
@@ -46,45 +63,50 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-class Memory:
-    """A dictionary that keeps the entries of its last ``most`` to 2 * ``most`` additions."""
+class Memory(dict):
+    """A dictionary that makes what it lacks, and keeps the entries of its last ``most`` to 2 * ``most``
+    additions. Keys of more than ``longest`` characters are made each time."""
 
-    def __init__(self, make, most: int):
-        self.make, self.most, self.new, self.old = make, most, {}, {}
+    def __init__(self, make, most: int, longest: int):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
 
-    def __getitem__(self, key):
-        found = self.new.get(key)
+    def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
+        found = self.old.get(key)
         if found is None:
-            found = self.old.get(key)
-            if found is None:
-                found = self.make(key)
-            if len(self.new) >= self.most:
-                self.old, self.new = self.new, {}
-            self.new[key] = found
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
         return found
 
 
 class Encoder:
     """Ids of a text as little-endian 32-bit bytes, equal to those of the tokenizer file.
 
-    White space ends every word, so texts are cut there and the ids of chunks and words remembered;
-    new words go to the tokenizer's model. Texts for which this could differ go to it whole.
+    Texts are cut into words by the tokenizer's own rule and the ids of words remembered; new words go to
+    its model. Texts with rare letters are cut at white space, which ends every word, and those of the
+    chunks that hold any go to the tokenizer; texts for which this could differ go to it whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = {i: c for i, c in enumerate(byte_letters())}
-        self.words = Memory(self._word, REMEMBERED)
-        self.chunks = Memory(self._chunk, REMEMBERED_CHUNKS)
+        self.words = Memory(self._word, REMEMBERED, LONGEST_REMEMBERED)
+        self.chunks = Memory(self._chunk, REMEMBERED_CHUNKS, LONGEST_REMEMBERED)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        mapped = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if not PLAIN.fullmatch(chunk):
@@ -99,16 +121,10 @@ class Encoder:
             text.isascii() or unicodedata.is_normalized("NFC", text)
         ):
             return self._whole(text)
-        new, found = self.chunks.new, []
-        for chunk in text.split():
-            ids = new.get(chunk)
-            if ids is None:
-                if len(chunk) > LONGEST_REMEMBERED:
-                    ids = self._chunk(chunk)
-                else:
-                    ids, new = self.chunks[chunk], self.chunks.new
-            found.append(ids)
-        return b"".join(found)
+        low = text.lower()
+        if PLAIN_TEXT.fullmatch(text) and (text.isascii() or PLAIN_TEXT.fullmatch(low)):
+            return b"".join(map(self.words.__getitem__, PLAIN_WORDS.findall(low)))
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -306,7 +322,8 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFram
     are ignored and an empty table gives an empty result. The driver plans with one number per
     length; pieces are numbered within their length from the addresses of a written table.
     """
-    stored = with_address(pieces(docs, tokenizer_path, length), "pieces")
+    numbered = pieces(docs, tokenizer_path, length).withColumn("_id", F.monotonically_increasing_id())
+    stored = with_address(numbered, "pieces")
     counts = stored.groupBy("length").count().toPandas()
     places = Places(plan(dict(zip(counts["length"].tolist(), counts["count"].tolist())), length))
     numbered = place_within(stored.drop("ids"), "length", name="number")
@@ -318,14 +335,14 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFram
             sequence, offset = shared.value(batch["length"].to_numpy(), batch["number"].to_numpy())
             arrays = [pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(
-                [batch["_file"], batch["_row"], *arrays],
-                names=["_file", "_row", "sequence_id", "offset"],
+                [batch["_id"], *arrays], names=["_id", "sequence_id", "offset"]
             )
 
-    placed = numbered.select("_file", "_row", "length", "number").mapInArrow(
-        place, "_file string, _row long, sequence_id long, offset long"
+    placed = numbered.select("_id", "length", "number").mapInArrow(
+        place, "_id long, sequence_id long, offset long"
     )
-    placed = broadcast_if_small(written(placed, "places"), 100)
-    return stored.join(placed, ["_file", "_row"]).select(
+    # Three numbers a row, and what a hash table takes beside them.
+    placed = broadcast_if_small(written(placed, "places"), 96)
+    return stored.join(placed, "_id").select(
         "doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"
     )
