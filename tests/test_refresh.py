@@ -213,3 +213,29 @@ def test_a_failed_run_goes_on_with_the_jobs_that_are_missing(store, sources, mon
     ran.clear()
     refresh(store, sources, NOW, run="monday")
     assert ran == []
+
+
+def test_silver_jobs_that_keep_nothing_end(spark, store, tmp_path):
+    (tmp_path / "bad.csv").write_text(
+        "record_id,branch_id,color_id,quantity_used,timestamp\n2,1,1,0,2025-05-02 10:00:00\n"
+    )
+    (tmp_path / "bad_posts.csv").write_text(
+        "post_id,color_id,likes,comments,post_date,ingestion_date\n2,1,-1,2,2025-05-01,2025-05-02\n"
+    )
+    build_dim_date(spark, "2025-01-01", "2025-12-31").write.option("header", True).csv(str(tmp_path / "days"))
+    bad = Sources(
+        inventory_csv=str(tmp_path / "bad.csv"), instagram_csv=str(tmp_path / "bad_posts.csv"),
+        dimension_files={"dim_date": str(tmp_path / "days")},
+    )
+    found = {}
+
+    def run():
+        for name in ("dimensions", "bronze_inventory", "bronze_instagram", "silver_inventory", "silver_instagram"):
+            found[name] = run_job(name, store, bad, NOW)
+
+    thread = Thread(target=run, daemon=True)
+    thread.start()
+    thread.join(120)
+    assert found["silver_inventory"]["rows"] == 0 and found["silver_inventory"]["dropped_quantity"] == 1
+    assert found["silver_inventory"]["nulls_record_id"] == 0
+    assert found["silver_instagram"]["rows"] == 0 and found["silver_instagram"]["dropped_negative_count"] == 1

@@ -56,7 +56,11 @@ def column_minimum(df: DataFrame, column: str) -> DataFrame:
 
 
 def observed(df: DataFrame, name: str, required: list[str]) -> tuple[DataFrame, Observation]:
-    """Attach row and null counts to whatever action runs next, at no extra pass."""
+    """Attach row and null counts to whatever action runs next, at no extra pass.
+
+    Only for rows that the action takes as they are: if adaptive execution finds nothing left above the
+    counts, say after a shuffle, they never arrive, and whoever asks for them waits for ever.
+    """
     watch = Observation(name)
     metrics = [F.count_if(_is_missing(df, c)).alias(f"nulls_{c}") for c in required]
     return df.observe(watch, F.count(F.lit(1)).alias("rows"), *metrics), watch

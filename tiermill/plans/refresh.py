@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.operators.history import scd2_from_events
-from tiermill.operators.quality import layer_counts, observed
+from tiermill.operators.quality import layer_counts
 from tiermill.plans import gold, silver
 from tiermill.plans.bronze import bronze_instagram, bronze_inventory
 from tiermill.plans.dimensions import load_dimension
@@ -43,11 +43,12 @@ def bronze_ratings(store: TableStore) -> DataFrame:
 
 
 def _write_silver(store: TableStore, rows: DataFrame, table: str, dropped: DataFrame) -> Metrics:
-    """Replace a silver table and return its row and null counts, taken during the write, and what
+    """Replace a silver table and return its row and null counts, from the footers of its files, and what
     each rule of the cleaner dropped, counted with the rows."""
-    watched, watch = observed(rows, table, SILVER_REQUIRED[table])
-    store.write(watched, table, "replace")
-    return watch.get | {f"dropped_{r['rule']}": r["dropped"] for r in dropped.collect()}
+    store.write(rows, table, "replace")
+    counts = store.footer_counts(table, SILVER_REQUIRED[table]).first().asDict()
+    named = {"rows": counts.pop("row_count")} | counts
+    return named | {f"dropped_{r['rule']}": r["dropped"] for r in dropped.collect()}
 
 
 def _dimensions(store, sources, as_of):

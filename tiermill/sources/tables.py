@@ -32,6 +32,8 @@ PARTITIONED_BY = {
 TIME_OF_DAY = {"bronze_ratings": "timestamp"}
 # A table that is registered beside the one it will replace.
 NEXT = "__next"
+# Spark's name of the folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Bytes of a bucket that one task reads without harm, and the share of all bytes beyond which a larger
 # one counts as hot. The number of the bucket in the name of a file that Spark has written.
 HOT_BYTES = 512 << 20
@@ -109,21 +111,27 @@ class TableStore:
         return rows
 
     def footer_counts(self, table: str, columns: list[str] | None = None) -> DataFrame:
-        """One row: ``row_count`` and ``nulls_<column>`` of a Parquet table, from the footers of its files;
-        no column is read.
+        """One row: ``row_count`` and ``nulls_<column>`` of a table. Of a Parquet table they come from the
+        footers of its files; no column is read.
 
         Spark takes counts from footers only with settings of their own, so this runs in a session
         beside the store's; the settings of that one stay as they are.
         """
+        total = F.count(F.lit(1))
+        nulls = [(total - F.count(c)).alias(f"nulls_{c}") for c in columns or []]
+        if self.provider != "parquet":
+            return self.read(table).agg(total.alias("row_count"), *nulls)
         self.exists(table)
         beside = self.spark.newSession()
         beside.conf.set("spark.sql.sources.useV1SourceList", "")
         beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         stored = self.spark.table(self.name(table)).schema
         files = beside.read.schema(stored).parquet(self._location(table))
-        total = F.count(F.lit(1))
-        nulls = [(total - F.count(c)).alias(f"nulls_{c}") for c in columns or []]
-        return files.agg(total.alias("row_count"), *nulls)
+        counted = files.agg(total.alias("row_count"), *nulls)
+        # Without any file there is no footer, and the sum of no counts is null, although Spark takes a
+        # count to be none and would drop a plain default.
+        none = {c: F.coalesce(F.nullif(F.col(c), F.lit(-1)), F.lit(0)) for c in counted.columns}
+        return counted.withColumns(none)
 
     def count(self, table: str) -> DataFrame:
         return self.spark.sql(f"SELECT count(*) AS total_rows FROM {self.name(table)}")
@@ -161,7 +169,7 @@ class TableStore:
             self.spark.sql(
                 f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({column} = {written_as})"
             )
-            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            folder = NO_VALUE if value is None else value
             files.delete(hadoop_path(self.spark, f"{root}/{column}={folder}")[0], True)
         self.spark.catalog.refreshTable(self.name(table))
 
@@ -307,9 +315,24 @@ class TableStore:
         writer = df.select(self.read(table).columns).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*self._partitions(table)).parquet(self._location(table))
-        self.spark.catalog.recoverPartitions(self.name(table))
+        self._register_new_partitions(table)
         self.spark.catalog.refreshTable(self.name(table))
 
+    def _register_new_partitions(self, table: str) -> None:
+        """Make partitions known for which there are folders; those that the catalog has stay untouched."""
+        column = self._partitions(table)[0]
+        folder, files = hadoop_path(self.spark, self._location(table))
+        names = {f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()}
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
+        new = sorted({n for n in names if n.startswith(f"{column}=")} - {r["partition"] for r in listed})
+        if any("%" in name for name in new) or len(self._partitions(table)) > 1:
+            self.spark.catalog.recoverPartitions(self.name(table))
+        elif new:
+            values = [name.partition("=")[2] for name in new]
+            literals = ["NULL" if value == NO_VALUE else f"'{value}'" for value in values]
+            added = " ".join(f"PARTITION ({column} = {literal})" for literal in literals)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS {added}")
+
     def _location(self, table: str) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
         return described.filter(F.col("col_name") == "Location").first()["data_type"]

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from tiermill.schemas import TABLES
 from tiermill.session import hadoop_path, written
-from tiermill.sources.tables import TableStore, in_days
+from tiermill.sources.tables import NO_VALUE, TableStore, in_days
 from tiermill.streaming.ratings import BATCH, DAY, RUN, STORED, read_batches
 
 LEDGER = "bronze_ratings_batches"
-# Spark's name of a partition without a value, and of the file that ends a complete write.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# The file that ends a complete write.
 COMPLETE = "_SUCCESS"
 
 

@@ -660,6 +660,7 @@ SELECT {IDS_AS_TEXT} FROM parsed
 WHERE _kafka_offset % 3 <> 0
    OR _kafka_offset IN (SELECT event_id FROM second WHERE NOT late AND NOT again)""",
     "stream_merged": ORACLES["stream_bronze"],
+    "stream_stamped": "SELECT count(*) AS total_rows, count(*) AS stamped_rows FROM events",
     "stream_ledger": f"""
 WITH {MESSAGES}
 SELECT DISTINCT event_date, CAST(1 AS BIGINT) AS merge_id FROM parsed WHERE event_date IS NOT NULL""",

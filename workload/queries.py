@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -671,6 +671,14 @@ def stream_merged(spark, sf_dir):
     return _stored_ratings(store.read("bronze_ratings"))
 
 
+def stream_stamped(spark, sf_dir):
+    """How many stored rows bear a time of processing within the run of the stream."""
+    began = datetime.now() - timedelta(minutes=1)
+    rows = stream.read_batches(spark, f"{_streamed(spark, sf_dir)}/bronze")
+    stamped = F.col("processed_timestamp").between(F.lit(began), F.lit(datetime.now() + timedelta(minutes=1)))
+    return rows.agg(F.count("*").alias("total_rows"), F.count_if(stamped).alias("stamped_rows"))
+
+
 def stream_ledger(spark, sf_dir):
     """Days in the ledger after the stream was merged twice."""
     store = TableStore(spark, new_path(spark, "store"), database=_new_database("ledger"))
@@ -889,6 +897,7 @@ QUERIES: dict[str, Query] = {
     "stream_late_kept": stream_late_kept,
     "stream_merged": stream_merged,
     "stream_ledger": stream_ledger,
+    "stream_stamped": stream_stamped,
     "stream_rejected_all": stream_rejected_all,
     "partition_overwrite": partition_overwrite,
     "replace_new_columns": replace_new_columns,
