@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from conftest import rows
 
+from tiermill.operators import numbering
 from tiermill.operators.history import scd2_from_changes, scd2_from_events
 from tiermill.schemas import TABLES, conform
 
@@ -150,3 +151,26 @@ def test_applying_updates_twice_changes_nothing(spark):
     assert rows(apply(once)) == rows(once)
     open_versions = once.filter("is_current").groupBy("customer_id").count()
     assert {r["count"] for r in open_versions.collect()} == {1}
+
+
+def test_all_steps_of_a_change_share_one_cut(spark, monkeypatch):
+    labels = []
+
+    def written(df, label, write=numbering.written):
+        labels.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(numbering, "written", written)
+    monkeypatch.setattr(numbering, "HOT_GROUP_ROWS", 20)
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 2, 3, None]), rng.choice("ab"), D[rng.randrange(40)], i) for i in range(200)]
+    updates = spark.createDataFrame(data, "customer_id int, city string, effective_date date, seq int")
+    current = spark.createDataFrame(CURRENT, CURRENT_SCHEMA)
+
+    def apply(**options):
+        got = scd2_from_changes(current, updates, "customer_id", ["city"], NOW, ["seq"], **options)
+        return rows(got)
+
+    sliced = apply(hot_group_rows=0)
+    assert labels.count("sliced") == 1
+    assert sliced == apply(hot_group_rows=10**9) and labels.count("sliced") == 1

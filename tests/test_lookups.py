@@ -63,3 +63,10 @@ def test_broadcast_only_when_measured_small(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows(small, "id", "key", "name") == rows(large, "id", "key", "name")
+
+
+def test_a_reused_result_of_a_shuffle_is_written(spark):
+    fact, dim = _frames(spark)
+    kept = lookup_all(fact, [(dim, ["key"])], broadcast_rows=3, reused=True)
+    assert "Join" not in plan(kept)
+    assert rows(kept, "id", "key", "name") == rows(fact.join(dim, "key"), "id", "key", "name")

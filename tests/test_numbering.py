@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tiermill.operators import numbering
 from tiermill.operators.cleaning import keep_newest
-from tiermill.operators.numbering import number_all, number_within
+from tiermill.operators.numbering import cut_groups, number_all, number_cut, number_within
 
 
 def _sample(seed, hot_share=0.5, n=400):
@@ -105,3 +105,20 @@ def test_keep_newest_folds_before_the_shuffle(spark):
     for r in sorted(_sample(1), key=lambda r: (r[1], r[2])):
         newest[r[0]] = r
     assert rows(got) == sorted(newest.values(), key=repr)
+
+
+@pytest.mark.parametrize("seed, share", [(6, 0.7), (7, 0.0), (8, 1.0)])
+def test_one_cut_serves_numberings_of_fewer_rows(spark, monkeypatch, seed, share):
+    monkeypatch.setattr(numbering, "HOT_GROUP_ROWS", 9)
+    df = spark.createDataFrame(_sample(seed, share, 300), SCHEMA)
+    by = (["customer"], ["day", "id"])
+
+    def steps(cut):
+        kept = number_cut(cut, *by, previous={"before": "value"}).filter("NOT before <=> value")
+        kept = kept.filter("customer IS NULL OR customer % 5 <> 0")
+        return number_cut(kept, *by, "n", following={"after": "value"}, counted=F.col("value") == "a")
+
+    cut = cut_groups(df, *by, hot_group_rows=0)
+    assert cut.select(numbering.SLICE).distinct().count() > 20
+    columns = ["id", "before", "after", "n"]
+    assert rows(steps(cut), *columns) == rows(steps(df), *columns)

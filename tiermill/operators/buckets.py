@@ -57,7 +57,7 @@ def rewrite_touched(
         return []
     stored = store.read(table).filter(F.col(BUCKET).isin(numbers)).drop(BUCKET)
     keys = arrived.select(key).distinct().withColumn("_arrived", F.lit(True))
-    marked = lookup_all(stored, [(keys, [key])], "left", hot_key_rows=hot_key_rows)
+    marked = lookup_all(stored, [(keys, [key])], "left", hot_key_rows=hot_key_rows, reused=True)
     renewed = rebuild(marked.filter("_arrived").drop("_arrived"), arrived.drop(BUCKET))
     carried = marked.filter("_arrived IS NULL").drop("_arrived")
     # The table is read to make the rows, so they are complete before its files are replaced.

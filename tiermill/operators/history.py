@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from tiermill.functions.predicates import instant
 from tiermill.operators.buckets import BUCKETS, create_bucketed, rewrite_touched
 from tiermill.operators.cleaning import keep_newest
-from tiermill.operators.numbering import HOT_GROUP_ROWS, group_sizes, number_within
+from tiermill.operators.numbering import (
+    HOT_GROUP_ROWS,
+    cut_groups,
+    group_sizes,
+    number_cut,
+    number_within,
+)
 from tiermill.sources.tables import TableStore
 
 ATTRIBUTES = ["first_name", "last_name", "email", "phone", "address", "city"]
@@ -161,40 +167,36 @@ def scd2_from_changes(
         )
         events = events.unionByName(closings)
     given = [c for c in rest if c in updates.columns]
-    dated = keep_newest(updates, [key, "effective_date"], newest_by or tracked).select(
-        key, *tracked, *given,
-        *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in rest if c not in given],
-        F.col("effective_date").alias("start_date"), F.lit(2).alias("_origin"),
-        F.lit(0).cast("bigint").alias("_old"), F.lit(0).alias("_closing"), now.alias("_stamp"),
-    )
-    state = F.when(F.col("_closing") == 0, F.struct(*tracked))
-    events = events.unionByName(dated).withColumn("_state", state)
-    in_time = ["start_date", "_origin", "_old", "_closing"]
-    # Nothing below adds rows to a group, so the inputs bound the groups of all steps.
-    keys = current.select(key).unionAll(current.select(key)).unionAll(updates.select(key))
-    sizes = group_sizes(keys, [key])
-
-    def within(df, **wanted):
-        return number_within(df, [key], in_time, hot_group_rows=hot_group_rows, sizes=sizes, **wanted)
-
-    compared = within(events, previous={"_before": "_state"})
-    repeated = (F.col("_origin") == 2) & F.col("_before").eqNullSafe(F.col("_state"))
-    ended = within(compared.filter(~repeated), following={"_end": "start_date"})
-    ended = ended.filter("_closing = 0").drop("_before", "_state", "_closing")
-    fresh = number_within(
-        ended.filter("_origin = 2"), [key], ["start_date"], number="_nth",
-        hot_group_rows=hot_group_rows, sizes=sizes,
-    )
     newest = F.struct("start_date", "version_id")
     held = current.groupBy(key).agg(
         F.max("version_id").cast("bigint").alias("_most"),
         *[F.max_by(F.struct(c), newest).alias(f"_rest_{c}") for c in rest if c not in given],
     )
-    fresh = fresh.join(held, key, "left").withColumns(
-        {c: F.col(f"_rest_{c}")[c] for c in rest if c not in given}
+    # Updates bring what a new version takes from the stored ones of its key, so that all rows can go
+    # through the steps below together. No two have one date, so ``_old`` never orders them.
+    dated = keep_newest(updates, [key, "effective_date"], newest_by or tracked)
+    dated = dated.join(held, key, "left").select(
+        key, *tracked, *given, *[F.col(f"_rest_{c}")[c].alias(c) for c in rest if c not in given],
+        F.col("effective_date").alias("start_date"), F.lit(2).alias("_origin"),
+        F.coalesce("_most", F.lit(0)).cast("bigint").alias("_old"), F.lit(0).alias("_closing"),
+        now.alias("_stamp"),
+    )
+    # What is tracked comes last: rows without a number of their own always stand in the same order.
+    in_time = ["start_date", "_origin", "_old", "_closing", *tracked]
+    closes = F.col("end_date").isNotNull().cast("int") if "end_date" in current.columns else F.lit(0)
+    keys = current.select(key, (closes + 1).alias("_rows")).unionAll(updates.select(key, F.lit(1)))
+    # Nothing below adds rows to a group, so one cut of the groups serves all steps.
+    sizes = group_sizes(keys, [key], F.col("_rows"))
+    events = cut_groups(events.unionByName(dated), [key], in_time, hot_group_rows, sizes)
+    state = F.when(F.col("_closing") == 0, F.struct(*tracked))
+    compared = number_cut(events.withColumn("_state", state), [key], in_time, previous={"_before": "_state"})
+    opened = F.col("_origin") == 2
+    kept = compared.filter(~(opened & F.col("_before").eqNullSafe(F.col("_state")))).drop("_before", "_state")
+    ended = number_cut(
+        kept, [key], in_time, number="_nth", following={"_end": "start_date"}, counted=opened
     )
-    number = (F.coalesce("_most", F.lit(0)) + F.col("_nth")).alias("version_id")
-    columns = [*tracked, *rest, "start_date", F.col("_end").alias("end_date")]
-    columns += [F.col("_end").isNull().alias("is_current"), F.col("_stamp").alias("created_timestamp")]
-    kept = ended.filter("_origin = 1").select(key, F.col("_old").alias("version_id"), *columns)
-    return kept.unionByName(fresh.select(key, number, *columns))
+    return ended.filter("_closing = 0").select(
+        key, F.when(opened, F.col("_old") + F.col("_nth")).otherwise(F.col("_old")).alias("version_id"),
+        *tracked, *rest, "start_date", F.col("_end").alias("end_date"),
+        F.col("_end").isNull().alias("is_current"), F.col("_stamp").alias("created_timestamp"),
+    )

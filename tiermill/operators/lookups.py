@@ -31,13 +31,15 @@ def lookup_all(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_key_rows: int = HOT_KEY_ROWS,
+    reused: bool = False,
 ) -> DataFrame:
     """Join ``fact`` to each (dimension, key columns) pair; the columns of the result are in the order
     of the joins.
 
     All dimensions are measured in one job. Those within the bounds are broadcast; the others are
     joined by shuffle, with the hot keys of ``fact`` salted. The broadcasts come first, so that inner
-    joins thin the rows out before any shuffle.
+    joins thin the rows out before any shuffle. If the result is ``reused`` by several steps, it is
+    written after a join by shuffle, which would otherwise run once for each of them.
     """
     small = _measured_small([dim for dim, _ in lookups], broadcast_rows)
     large = [lookup for lookup, fits in zip(lookups, small) if not fits]
@@ -49,7 +51,7 @@ def lookup_all(
     hot = [hot_keys(fact, keys, hot_key_rows) for _, keys in large]
     for (dim, keys), frequent in zip(large, hot):
         fact = salted_join(fact, dim, keys, frequent, how)
-    return fact
+    return written(fact, "looked-up") if large and reused else fact
 
 
 def colocated_join(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiermill.session import written
@@ -17,6 +17,9 @@ from tiermill.session import written
 # Rows of one group that one task may sort; also the aim for the rows of a slice.
 HOT_GROUP_ROWS = 5_000_000
 
+# The columns with the number of a row's slice, and whether its group may go on in another slice.
+SLICE, CUT_OFF = "_slice", "_cut_off"
+
 # monotonically_increasing_id() holds the task number above 33 bits of row position.
 _POSITION_BITS = 33
 
@@ -57,9 +60,10 @@ def number_all(df: DataFrame, order: list[str], number: str, rows: int | None =
     )
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the largest group, and of all groups (runs a job that reads the keys only)."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+def group_sizes(df: DataFrame, keys: list[str], rows: Column | None = None) -> tuple[int, int]:
+    """Rows of the largest group, and of all groups (runs a job that reads the keys only). A row counts as
+    ``rows`` rows, by default as one."""
+    counts = df.groupBy(*keys).agg((F.count("*") if rows is None else F.sum(rows)).alias("n"))
     largest, total = counts.agg(F.max("n"), F.sum("n")).first()
     return largest or 0, total or 0
 
@@ -82,47 +86,96 @@ def number_within(
     ``sizes`` is an upper bound of ``group_sizes`` if the caller has one; else they are counted here
     (runs a job).
     """
-    previous, following = previous or {}, following or {}
+    cut = cut_groups(df, keys, order, hot_group_rows, sizes)
+    return number_cut(cut, keys, order, number, previous, following).drop(SLICE, CUT_OFF)
+
+
+def cut_groups(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    hot_group_rows: int = HOT_GROUP_ROWS,
+    sizes: tuple[int, int] | None = None,
+) -> DataFrame:
+    """The rows for ``number_cut``: as they are if no group has more than ``hot_group_rows`` rows, otherwise
+    cut into range slices and written with the number of their slice in ``SLICE`` (runs jobs). All
+    numberings of the rows, or of some of them, by the same keys and order can share one cut.
+
+    ``CUT_OFF`` holds for the groups with a slice's lowest or highest first key, and those without one.
+    Only they can reach over the ends of a slice.
+    """
     largest, total = sizes or group_sizes(df, keys)
     if largest <= hot_group_rows:
-        return _number_whole_groups(df, keys, order, number, previous, following)
-    return _number_sliced_groups(df, keys, order, number, previous, following, total)
+        return df
+    ranges = df.repartitionByRange(slices(df, total), *keys, *order)
+    sliced = written(ranges.withColumn(SLICE, F.spark_partition_id()), "sliced")
+    first = F.col(keys[0])
+    ends = sliced.groupBy(SLICE).agg(F.min(first).alias("_low"), F.max(first).alias("_high"))
+    cut_off = first.isNull() | (first == F.col("_low")) | (first == F.col("_high"))
+    held = sliced.join(F.broadcast(written(ends, "slice-ends")), SLICE)
+    return held.select(*sliced.columns, cut_off.alias(CUT_OFF))
+
+
+def number_cut(
+    cut: DataFrame,
+    keys: list[str],
+    order: list[str],
+    number: str | None = None,
+    previous: dict[str, str] | None = None,
+    following: dict[str, str] | None = None,
+    counted: Column | None = None,
+) -> DataFrame:
+    """``number_within`` for rows from ``cut_groups``, which keep their slices; rows may have been dropped
+    since. With ``counted`` only rows for which it holds count for ``number``; others repeat the number
+    before theirs, from 0."""
+    columns = (number, previous or {}, following or {}, counted)
+    if SLICE in cut.columns:
+        return _number_sliced_groups(cut, keys, order, *columns)
+    return _number_whole_groups(cut, keys, order, *columns)
+
+
+def _nth(window, counted: Column | None) -> Column:
+    if counted is None:
+        return F.row_number().over(window).cast("bigint")
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.count(F.when(counted, 1)).over(so_far)
 
 
-def _number_whole_groups(df, keys, order, number, previous, following):
+def _number_whole_groups(df, keys, order, number, previous, following, counted):
     group = Window.partitionBy(*keys).orderBy(*order)
     columns = {name: F.lag(c).over(group) for name, c in previous.items()}
     columns |= {name: F.lead(c).over(group) for name, c in following.items()}
     if number:
-        columns[number] = F.row_number().over(group).cast("bigint")
+        columns[number] = _nth(group, counted)
     return df.withColumns(columns)
 
 
-def _number_sliced_groups(df, keys, order, number, previous, following, total):
-    sliced = written(
-        df.repartitionByRange(slices(df, total), *keys, *order).withColumn("_slice", F.spark_partition_id()),
-        "sliced",
-    )
-    key = F.struct(*keys)
-    edges = _slice_edges(sliced, keys, order, sorted({*previous.values(), *following.values()}))
-
-    # (slice, group) pieces are no larger than a slice, so no task gets a whole hot group.
-    piece = Window.partitionBy("_slice", *keys).orderBy(*order)
-    local = {"_nth": F.row_number().over(piece), "_more": F.lead(F.lit(True)).over(piece)}
-    local |= {f"_lag_{name}": F.lag(c).over(piece) for name, c in previous.items()}
+def _number_sliced_groups(sliced, keys, order, number, previous, following, counted):
+    # (slice, group) pieces are no larger than a slice, so no task gets a whole hot group. CUT_OFF splits
+    # none of them; with it Spark filters by it before it makes the windows.
+    piece = Window.partitionBy(SLICE, CUT_OFF, *keys).orderBy(*order)
+    local = {f"_lag_{name}": F.lag(c).over(piece) for name, c in previous.items()}
     local |= {f"_lead_{name}": F.lead(c).over(piece) for name, c in following.items()}
-    joined = sliced.withColumns(local).join(F.broadcast(edges), "_slice")
-
-    edge = F.col("_edge")
-    continued = key.eqNullSafe(edge["head_key"]) & key.eqNullSafe(edge["before_key"])
-    continues = key.eqNullSafe(edge["tail_key"]) & key.eqNullSafe(edge["after_key"])
-    at_start, at_end = F.col("_nth") == 1, F.col("_more").isNull()
-    out = [F.col(c) for c in df.columns]
+    if previous:
+        local["_first"] = F.lag(F.lit(True)).over(piece).isNull()
+    if following:
+        local["_last"] = F.lead(F.lit(True)).over(piece).isNull()
+    if number:
+        local["_nth"] = _nth(piece, counted)
+    pieces = sliced.withColumns(local)
+    looked_up = sorted({*previous.values(), *following.values()})
+    edges = _slice_edges(pieces.filter(CUT_OFF), keys, order, looked_up, bool(number))
+    joined = pieces.join(F.broadcast(edges), SLICE, "left")
+
+    key, edge = F.struct(*keys), F.col("_edge")
+    continued = key.eqNullSafe(edge["head_key"]) & key.eqNullSafe(edge["before"]["key"])
+    continues = key.eqNullSafe(edge["tail_key"]) & key.eqNullSafe(edge["after"]["key"])
+    out = [F.col(c) for c in sliced.columns]
     for name, c in previous.items():
-        carried = F.when(at_start & continued, edge["before"][c])
+        carried = F.when(F.col("_first") & continued, edge["before"]["values"][c])
         out.append(carried.otherwise(F.col(f"_lag_{name}")).alias(name))
     for name, c in following.items():
-        carried = F.when(at_end & continues, edge["after"][c])
+        carried = F.when(F.col("_last") & continues, edge["after"]["values"][c])
         out.append(carried.otherwise(F.col(f"_lead_{name}")).alias(name))
     if number:
         before = F.when(continued, edge["rows_before"]).otherwise(F.lit(0))
@@ -130,34 +183,28 @@ def _number_sliced_groups(df, keys, order, number, previous, following, total):
     return joined.select(out)
 
 
-def _slice_edges(sliced, keys, order, looked_up):
-    """One row per slice: the groups at its two ends, and what the slices next to it hold of them."""
-    values, rank = F.struct(*(looked_up or keys)), F.struct(*order)
-    runs = sliced.groupBy("_slice", *keys).agg(
-        F.count("*").alias("_rows"),
-        F.min_by(values, rank).alias("_first"),
-        F.max_by(values, rank).alias("_last"),
-    )
-    key = F.struct(*keys)
-    ends = runs.groupBy("_slice").agg(
-        F.min(key).alias("head_key"),
-        F.max(key).alias("tail_key"),
-        F.min_by("_first", key).alias("head"),
-        F.max_by("_last", key).alias("tail"),
-        F.max_by("_rows", key).alias("tail_rows"),
-    )
-    # A group that reaches into a slice is the tail of every slice before it that holds any of it.
-    by_slice = Window.orderBy("_slice")
-    same_tail = Window.partitionBy("tail_key").orderBy("_slice")
-    return ends.withColumn("tail_total", F.sum("tail_rows").over(same_tail)).select(
-        "_slice",
-        F.struct(
-            "head_key",
-            "tail_key",
-            F.lag("tail_key").over(by_slice).alias("before_key"),
-            F.lag("tail").over(by_slice).alias("before"),
-            F.lag("tail_total").over(by_slice).alias("rows_before"),
-            F.lead("head_key").over(by_slice).alias("after_key"),
-            F.lead("head").over(by_slice).alias("after"),
-        ).alias("_edge"),
+def _slice_edges(pieces, keys, order, looked_up, numbered):
+    """One row per slice: the groups at its two ends, and what the slices next to it hold of them. Of a
+    slice only its first and its last row count; the last one's number is that of its group's rows. A
+    slice without rows of groups that may be cut off has no row; its groups are whole."""
+    rank = F.struct(*keys, *order, *(["_nth"] if numbered else []))
+    row = [F.struct(*keys).alias("key"), F.struct(*(looked_up or keys)).alias("values")]
+    row += [F.col("_nth").alias("rows")] if numbered else []
+    ends = pieces.groupBy(SLICE).agg(
+        F.min_by(F.struct(*row), rank).alias("head"), F.max_by(F.struct(*row), rank).alias("tail")
     )
+    by_slice = Window.orderBy(SLICE)
+    edge = [
+        F.col("head")["key"].alias("head_key"),
+        F.col("tail")["key"].alias("tail_key"),
+        F.lag("tail").over(by_slice).alias("before"),
+        F.lead("head").over(by_slice).alias("after"),
+    ]
+    if numbered:
+        # A group that reaches into a slice is the tail of every slice before it that holds any of it.
+        ends = ends.withColumn("tail_key", F.col("tail")["key"]).withColumn(
+            "tail_total",
+            F.sum(F.col("tail")["rows"]).over(Window.partitionBy("tail_key").orderBy(SLICE)),
+        )
+        edge.append(F.lag("tail_total").over(by_slice).alias("rows_before"))
+    return ends.select(SLICE, F.struct(*edge).alias("_edge"))
